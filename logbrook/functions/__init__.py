@@ -11,13 +11,14 @@ from logbrook.functions.columns import (
     short_name,
 )
 from logbrook.functions.cursor import decode_cursor, encode_cursor
-from logbrook.functions.timestamps import parse_utc
+from logbrook.functions.timestamps import full_iso, parse_utc, utc_of
 
 __all__ = [
     "clean_keyword",
     "contains_text",
     "decode_cursor",
     "encode_cursor",
+    "full_iso",
     "health_badge",
     "hour_bucket",
     "int_percent",
@@ -25,4 +26,5 @@ __all__ = [
     "row_total",
     "severity_class",
     "short_name",
+    "utc_of",
 ]

@@ -1,57 +1,45 @@
-"""ISO 8601 text to UTC wall time, without help from the session time zone."""
+"""ISO 8601 text to UTC wall time."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Fixed patterns: the accepted ISO 8601 forms. Compact text is first spelled out with
-# separators, so that one cast covers both.
-_COMPACT = (
-    r"^(\d{4})(\d{2})(\d{2})"
-    r"(?:[T ](\d{2})(?:(\d{2})(?:(\d{2})([.,]\d+)?)?)?)?"
-    r"(Z|[+-]\d{2}(?::?\d{2})?)?$"
+# Fixed patterns. The full form, which Spark casts; its zoned variant; and the accepted
+# shorter forms, each with the text that spells it out.
+_FULL = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})?)?$"
+_ZONED = r"(Z|[+-]\d{2}:\d{2})$"
+_SHORT_FORMS = (
+    (r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3"),
+    (r"([T ]\d{2})(?=$|Z|[+-])", "$1:00"),
+    (r"([T ]\d{2})(\d{2})", "$1:$2"),
+    (r"([T ]\d{2}:\d{2})(\d{2})", "$1:$2"),
+    (r"([T ]\d{2}:\d{2})(?=$|Z|[+-])", "$1:00"),
+    (r",(?=\d)", "."),
+    (r"([T ][\d:.]+[+-]\d{2})(\d{2})$", "$1:$2"),
+    (r"([T ][\d:.]+[+-]\d{2})$", "$1:00"),
 )
-_EXTENDED = (
-    r"^(\d{4}-\d{2}-\d{2})"
-    r"(?:[T ](\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?))?"
-    r"(Z|[+-]\d{2}(?::?\d{2})?)?$"
-)
-_OFFSET = r"([+-])(\d{2}):?(\d{2})?$"
-
 
-def _spelled_out(text: Column) -> Column:
-    def part(i: int) -> Column:
-        return F.regexp_extract(text, _COMPACT, i)
 
-    def clock(i: int) -> Column:
-        return F.when(part(i) == "", "00").otherwise(part(i))
+def full_iso(text: Column) -> Column:
+    """ISO 8601 text in its full form. Nearly all text has it already and is left alone."""
+    trimmed = spelled = F.trim(text)
+    for pattern, replacement in _SHORT_FORMS:
+        spelled = F.regexp_replace(spelled, pattern, replacement)
+    return F.when(trimmed.rlike(_FULL), trimmed).otherwise(spelled)
 
-    return F.when(
-        text.rlike(_COMPACT),
-        F.concat(
-            part(1), F.lit("-"), part(2), F.lit("-"), part(3), F.lit("T"),
-            clock(4), F.lit(":"), clock(5), F.lit(":"), clock(6), part(7), part(8),
-        ),
-    ).otherwise(text)
 
+def utc_of(iso: Column) -> Column:
+    """TIMESTAMP_NTZ in UTC of full ISO text, or NULL where it is no date or time.
 
-def parse_utc(text: Column) -> Column:
-    """TIMESTAMP_NTZ in UTC, or NULL where the text is no valid ISO 8601 date or time.
-
-    Text without an offset already is UTC. An offset is subtracted, so the wall time
+    Text without an offset already is UTC. Text with one is converted, so the wall time
     (and the day and hour derived from it) does not depend on the sender's time zone.
     """
-    iso = _spelled_out(F.trim(text))
-    day, clock, zone = (F.regexp_extract(iso, _EXTENDED, i) for i in (1, 2, 3))
-    clock = F.regexp_replace(clock, ",", ".")
-    # A clock of two digits is an hour; give it minutes so that the cast accepts it.
-    clock = F.when(clock == "", "00:00").when(F.length(clock) == 2, F.concat(clock, F.lit(":00")))\
-        .otherwise(clock)
-    wall = F.concat(day, F.lit("T"), clock).try_cast("timestamp_ntz")
-
-    sign = F.when(F.regexp_extract(zone, _OFFSET, 1) == "-", -1).otherwise(1)
-    hours = F.coalesce(F.regexp_extract(zone, _OFFSET, 2).try_cast("int"), F.lit(0))
-    minutes = F.coalesce(F.regexp_extract(zone, _OFFSET, 3).try_cast("int"), F.lit(0))
-    valid = iso.rlike(_EXTENDED) & (hours < 24) & (minutes < 60)
-    shift = F.make_dt_interval(F.lit(0), sign * hours, sign * minutes, F.lit(0))
-    return F.when(valid, wall - shift)
+    instant = F.to_utc_timestamp(iso.try_cast("timestamp"), F.current_timezone())
+    moment = F.when(iso.rlike(_ZONED), instant.cast("timestamp_ntz")).otherwise(
+        iso.try_cast("timestamp_ntz")
+    )
+    return F.when(iso.rlike(_FULL), moment)
+
+
+def parse_utc(text: Column) -> Column:
+    return utc_of(full_iso(text))

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from logbrook import schema as S
-from logbrook.functions import parse_utc
+from logbrook.functions import full_iso, utc_of
 
 _FIELDS = ("timestamp", "service", "severity", "message", "host", "metadata")
 
@@ -44,31 +44,39 @@ def extract_fields(parsed: DataFrame) -> DataFrame:
     """Replace ``doc`` by typed columns; a wrong JSON type becomes a reason.
 
     Types are read from the variant because a plain cast would accept the number 5 as
-    the string "5".
+    the string "5". Text columns are NULL where the value is no string, so the reasons
+    follow from NULLs in a second projection and no value is taken out twice.
     """
-    typed = parsed.select("*", *[_field(f).alias(f"_{f}") for f in _FIELDS])
-    kind = {f: F.schema_of_variant(f"_{f}") for f in _FIELDS}
-    text = {
-        f: F.when(kind[f] == "STRING", F.try_variant_get(f"_{f}", "$", "string")) for f in _FIELDS
-    }
+    kept = [F.col(c) for c in parsed.columns if c not in ("doc", "reason")]
+    found = parsed.select(*kept, "reason", *[_field(f).alias(f"_{f}") for f in _FIELDS])
+
+    def kind(field: str) -> Column:
+        return F.schema_of_variant(f"_{field}")
+
+    def text(field: str) -> Column:
+        return F.when(kind(field) == "STRING", F.try_variant_get(f"_{field}", "$", "string"))
+
     pairs = F.try_variant_get("_metadata", "$", "map<string,variant>")
-    plain_pairs = F.forall(F.map_values(pairs), lambda v: F.schema_of_variant(v) == "STRING")
-    no_metadata = F.col("_metadata").isNull() | (kind["metadata"] == "VOID")
-    problem = (
-        F.when(F.col("_timestamp").isNotNull() & text["timestamp"].isNull(), "bad_timestamp")
-        .when(text["service"].isNull(), "bad_service")
-        .when(text["severity"].isNull(), "bad_severity")
-        .when(text["message"].isNull(), "bad_message")
-        .when(F.col("_host").isNotNull() & text["host"].isNull(), "bad_host")
-        .when(~(no_metadata | F.coalesce(plain_pairs, F.lit(False))), "bad_metadata")
-    )
-    kept = [c for c in parsed.columns if c not in ("doc", "reason")]
-    return typed.select(
+    only_text = F.forall(F.map_values(pairs), lambda v: F.schema_of_variant(v) == "STRING")
+    no_pairs = F.col("_metadata").isNull() | (kind("metadata") == "VOID")
+    typed = found.select(
         *kept,
-        *[text[f].alias(f) for f in _FIELDS[:-1]],
+        "reason",
+        *[text(f).alias(f) for f in _FIELDS[:-1]],
         F.try_variant_get("_metadata", "$", "map<string,string>").alias("metadata"),
-        F.coalesce("reason", problem).alias("reason"),
+        F.col("_timestamp").isNotNull().alias("_has_timestamp"),
+        F.col("_host").isNotNull().alias("_has_host"),
+        (no_pairs | F.coalesce(only_text, F.lit(False))).alias("_good_metadata"),
+    )
+    problem = (
+        F.when(F.col("_has_timestamp") & F.col("timestamp").isNull(), "bad_timestamp")
+        .when(F.col("service").isNull(), "bad_service")
+        .when(F.col("severity").isNull(), "bad_severity")
+        .when(F.col("message").isNull(), "bad_message")
+        .when(F.col("_has_host") & F.col("host").isNull(), "bad_host")
+        .when(~F.col("_good_metadata"), "bad_metadata")
     )
+    return typed.select(*kept, *_FIELDS, F.coalesce("reason", problem).alias("reason"))
 
 
 def with_defaults(events: DataFrame) -> DataFrame:
@@ -93,20 +101,20 @@ def normalize_ts(events: DataFrame, as_of: dt.datetime | None = None) -> DataFra
     """
     if "timestamp" not in events.columns:
         events = events.withColumn("timestamp", F.lit(None).cast("string"))
-    given = F.col("timestamp")
-    if events.schema["timestamp"].dataType.typeName() == "string":
-        parsed = parse_utc(given)
-    else:
-        parsed = given.cast("timestamp_ntz")
+    if "reason" not in events.columns:
+        events = events.withColumn("reason", F.lit(None).cast("string"))
+    columns = [c for c in events.columns if c not in ("timestamp", "reason")]
     fallback = F.lit(as_of).cast("timestamp_ntz")
-    reason = F.col("reason") if "reason" in events.columns else F.lit(None).cast("string")
-    resolved = F.coalesce(parsed, F.when(given.isNull(), fallback))
-    return events.withColumns(
-        {
-            "timestamp": resolved,
-            "reason": F.coalesce(reason, F.when(resolved.isNull(), "bad_timestamp")),
-        }
-    )
+    if isinstance(events.schema["timestamp"].dataType, T.StringType):
+        # One step per projection: each text is matched once, however often it is used.
+        spelled = events.withColumn("_iso", full_iso(F.col("timestamp")))
+        moment = F.when(F.col("_iso").isNull(), fallback).otherwise(utc_of(F.col("_iso")))
+        resolved = spelled.select(*columns, "reason", moment.alias("timestamp"))
+    else:
+        moment = F.coalesce(F.col("timestamp").cast("timestamp_ntz"), fallback)
+        resolved = events.select(*columns, "reason", moment.alias("timestamp"))
+    problem = F.when(F.col("timestamp").isNull(), "bad_timestamp")
+    return resolved.withColumn("reason", F.coalesce("reason", problem))
 
 
 def validate(events: DataFrame) -> DataFrame:

@@ -147,7 +147,7 @@ def matching(
     )
 
 
-def _checked_limit(limit: int) -> int:
+def check_limit(limit: int) -> int:
     if not 1 <= limit <= S.SEARCH_MAX_LIMIT:
         raise ValueError(f"limit must be between 1 and {S.SEARCH_MAX_LIMIT}")
     return limit
@@ -159,12 +159,12 @@ def search(logs: DataFrame, service: str, limit: int = S.SEARCH_DEFAULT_LIMIT, *
     Filter, then order and limit: one scan of the pruned partitions and a top-k per task,
     never a full sort.
     """
-    return _newest(matching(logs, service, **filters), _checked_limit(limit))
+    return _newest(matching(logs, service, **filters), check_limit(limit))
 
 
 def search_host(logs: DataFrame, host: str, limit: int = S.SEARCH_DEFAULT_LIMIT, **filters) -> DataFrame:
     """Newest rows of one host across services."""
-    return _newest(matching(logs, host=host, **filters), _checked_limit(limit))
+    return _newest(matching(logs, host=host, **filters), check_limit(limit))
 
 
 def _newest(rows: DataFrame, n: int) -> DataFrame:
@@ -177,7 +177,7 @@ def search_page(logs: DataFrame, service: str, limit: int = S.SEARCH_DEFAULT_LIM
     One row more than the page is fetched to learn whether there is a next page. The
     page limit bounds what reaches the driver.
     """
-    fetched = _newest(matching(logs, service, **filters), _checked_limit(limit) + 1)
+    fetched = _newest(matching(logs, service, **filters), check_limit(limit) + 1)
     rows = fetched.collect()
     token = None
     if len(rows) > limit:

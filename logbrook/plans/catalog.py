@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logbrook.plans import batch, events_view
+from logbrook.plans import batch, events_view, stored  # noqa: F401  (registers its queries)
 from logbrook.operators.search import search
 from logbrook.session import configure
 

@@ -51,7 +51,17 @@ def _message() -> Column:
 
 def log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as log rows; the event payload becomes the metadata."""
-    events = table(spark, sf_dir, "events")
+    return logs_of(table(spark, sf_dir, "events"))
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a stream of its files."""
+    schema = table(spark, sf_dir, "events").schema
+    # A pattern that matches just this table: as such it may name a file or a folder.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+
+
+def logs_of(events: DataFrame) -> DataFrame:
     return events.select(
         "event_id",
         _service().alias("service_name"),
@@ -65,9 +75,8 @@ def log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def wire_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lines_of(events: DataFrame) -> DataFrame:
     """Events as JSON Lines text, the form log files hold."""
-    logs = log_view(spark, sf_dir)
     wire = F.struct(
         F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
         F.col("service_name").alias("service"),
@@ -76,7 +85,7 @@ def wire_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "host",
         "metadata",
     )
-    return logs.select("event_id", F.to_json(wire).alias("line"))
+    return logs_of(events).select("event_id", F.to_json(wire).alias("line"))
 
 
 # Ways a line can be broken, by event_id modulo 8; "@" stands for the good line.

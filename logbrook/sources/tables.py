@@ -21,7 +21,7 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from logbrook import schema as S
 from logbrook.operators import rollup
@@ -62,7 +62,7 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _day(day: dt.date):
+def _day(day: dt.date) -> Column:
     return F.col("log_date") == F.lit(day)
 
 
@@ -141,37 +141,42 @@ def write_rollup(logs: DataFrame, path: str, run_id: str, batch_id: int) -> None
     write_batch(rollup.hourly_partials(logs).coalesce(1), path, run_id, batch_id)
 
 
-def _last_fold(spark: SparkSession, tables: LogTables) -> tuple[int, dict[str, int]] | None:
+def _last_fold(spark: SparkSession, tables: LogTables) -> tuple[int, dict[str, int]]:
     """Newest complete fold and, for each run, the last batch in it (one row per run)."""
-    key = T.StructType([*_BATCH_KEY, *_FOLD_KEY])
-    folded = read_table(spark, tables.path("folded"), key)
-    if folded is None:
-        return None
-    newest = folded.agg(F.max("fold_id")).first()[0]
+    folded = read_table(spark, tables.path("folded"), T.StructType([*_BATCH_KEY, *_FOLD_KEY]))
+    newest = None if folded is None else folded.agg(F.max("fold_id")).first()[0]
     if newest is None:
-        return None
+        return 0, {}
     rows = folded.filter(F.col("fold_id") == newest).collect()
     return newest, {r["run_id"]: r["batch_id"] for r in rows}
 
 
-def read_partials(spark: SparkSession, tables: LogTables) -> DataFrame:
-    """Hourly partials: the newest fold, and the batches it does not cover."""
+def _covered(batches: dict[str, int]) -> Column:
+    """Batches up to the given one of each run: a filter on folders."""
+    parts = [(F.col("run_id") == r) & (F.col("batch_id") <= b) for r, b in batches.items()]
+    return reduce(lambda a, b: a | b, parts, F.lit(False))
+
+
+def _partials(
+    spark: SparkSession, tables: LogTables, upto: dict[str, int] | None = None
+) -> DataFrame | None:
+    """The newest fold and the batches it does not cover, optionally only up to some batch."""
     names = S.HOURLY_SCHEMA.fieldNames()
-    partials = read_table(spark, tables.hourly, T.StructType([*S.HOURLY_SCHEMA, *_BATCH_KEY]))
-    if partials is None:
-        return _empty(spark, S.HOURLY_SCHEMA)
-    fold = _last_fold(spark, tables)
-    if fold is None:
-        return partials.select(names)
-    fold_id, covered = fold
-    is_covered = reduce(
-        lambda a, b: a | b,
-        [(F.col("run_id") == r) & (F.col("batch_id") <= b) for r, b in covered.items()],
-    )
+    batches = read_table(spark, tables.hourly, T.StructType([*S.HOURLY_SCHEMA, *_BATCH_KEY]))
+    if batches is None:
+        return None
+    fold_id, covered = _last_fold(spark, tables)
+    rest = batches.filter(~_covered(covered) & (F.lit(True) if upto is None else _covered(upto)))
+    if not fold_id:
+        return rest.select(names)
     base = read_table(spark, tables.path("folds"), T.StructType([*S.HOURLY_SCHEMA, *_FOLD_KEY]))
-    return base.filter(F.col("fold_id") == fold_id).select(names).unionByName(
-        partials.filter(~is_covered).select(names)
-    )
+    return base.filter(F.col("fold_id") == fold_id).select(names).unionByName(rest.select(names))
+
+
+def read_partials(spark: SparkSession, tables: LogTables) -> DataFrame:
+    """Hourly partials; several rows may belong to one service and hour."""
+    stored = _partials(spark, tables)
+    return _empty(spark, S.HOURLY_SCHEMA) if stored is None else stored
 
 
 def read_rollup(spark: SparkSession, tables: LogTables) -> DataFrame:
@@ -185,30 +190,28 @@ def read_registry(spark: SparkSession, tables: LogTables) -> DataFrame:
 
 
 def fold_rollup(spark: SparkSession, tables: LogTables) -> int | None:
-    """Sum all partials written so far into a new fold; returns its id.
+    """Sum the last fold and the batches since into a new fold; returns its id.
 
     Readers switch to the fold when the list of batches it covers is written, which is the
     last step. Nothing is deleted, so readers and writers may go on meanwhile, and an
-    interrupted fold leaves the table as it was. Folder clean-up is a matter of retention.
+    interrupted fold leaves the table as it was. Folders of covered batches and of older
+    folds are no longer read and can be removed by retention.
     """
-    key = T.StructType([*S.HOURLY_SCHEMA, *_BATCH_KEY])
-    partials = read_table(spark, tables.hourly, key)
-    if partials is None:
+    batches = read_table(spark, tables.hourly, T.StructType([*S.HOURLY_SCHEMA, *_BATCH_KEY]))
+    if batches is None:
         return None
     # Fixed before the partials are read: a batch that arrives later is not covered.
-    covered = partials.groupBy("run_id").agg(F.max("batch_id").alias("batch_id")).collect()
-    if not covered:
-        return None
-    last = _last_fold(spark, tables)
-    fold_id = 1 if last is None else last[0] + 1
-    known = {r["run_id"]: r["batch_id"] for r in covered}
-    within = reduce(
-        lambda a, b: a | b,
-        [(F.col("run_id") == r) & (F.col("batch_id") <= b) for r, b in known.items()],
-    )
-    summed = rollup.fold_partials(partials.filter(within)).repartitionByRange("hour_bucket")
+    seen = batches.groupBy("run_id").agg(F.max("batch_id").alias("batch_id")).collect()
+    last_id, covered = _last_fold(spark, tables)
+    upto = dict(covered)
+    for row in seen:
+        upto[row["run_id"]] = max(row["batch_id"], upto.get(row["run_id"], -1))
+    if upto == covered:
+        return last_id or None
+    fold_id = last_id + 1
+    summed = rollup.fold_partials(_partials(spark, tables, upto)).repartitionByRange("hour_bucket")
     summed.write.mode("overwrite").parquet(f"{tables.path('folds')}/fold_id={fold_id}")
-    rows = spark.createDataFrame(list(known.items()), "run_id string, batch_id bigint")
+    rows = spark.createDataFrame(list(upto.items()), "run_id string, batch_id bigint")
     rows.coalesce(1).write.mode("overwrite").parquet(f"{tables.path('folded')}/fold_id={fold_id}")
     return fold_id
 
@@ -220,23 +223,26 @@ def write_rejects(rejects: DataFrame, path: str, run_id: str, batch_id: int) ->
     write_batch(rejects, path, run_id, batch_id)
 
 
-def _reject_id():
+def _reject_id() -> Column:
     return F.md5(F.concat_ws("\u0001", "file", F.col("off").cast("string"), "line"))
 
 
-def read_rejects(spark: SparkSession, tables: LogTables) -> DataFrame:
-    """Rejects that no replay has resolved."""
-    schema = T.StructType([*S.REJECTS_SCHEMA, *_BATCH_KEY])
-    stored = read_table(spark, tables.rejects, schema)
+def read_rejects(
+    spark: SparkSession, tables: LogTables, except_replay: str | None = None
+) -> DataFrame:
+    """Rejects that no replay has resolved; ``except_replay`` is a replay not to count."""
+    id_field = T.StructField("reject_id", T.StringType())
+    stored = read_table(spark, tables.rejects, T.StructType([*S.REJECTS_SCHEMA, *_BATCH_KEY]))
     if stored is None:
-        return _empty(spark, T.StructType([*S.REJECTS_SCHEMA, T.StructField("reject_id", T.StringType())]))
+        return _empty(spark, T.StructType([*S.REJECTS_SCHEMA, id_field]))
     pending = stored.select(*S.REJECTS_SCHEMA.fieldNames(), _reject_id().alias("reject_id"))
-    passed = read_table(
-        spark,
-        tables.path("resolved"),
-        T.StructType([T.StructField("reject_id", T.StringType()), T.StructField("replay_id", T.StringType())]),
-    )
-    return pending if passed is None else pending.join(passed, "reject_id", "left_anti")
+    resolved_schema = T.StructType([id_field, T.StructField("replay_id", T.StringType())])
+    passed = read_table(spark, tables.path("resolved"), resolved_schema)
+    if passed is None:
+        return pending
+    if except_replay is not None:
+        passed = passed.filter(F.col("replay_id") != except_replay)
+    return pending.join(passed, "reject_id", "left_anti")
 
 
 def mark_resolved(reject_ids: DataFrame, tables: LogTables, replay_id: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from logbrook import schema as S
@@ -75,18 +75,26 @@ def windowed_counts(logs: DataFrame, lateness: str = "1 hour") -> DataFrame:
     counts = [
         F.count_if(kind == cls).alias(name) for name, cls in zip(S.COUNT_COLUMNS, S.SEVERITY_CLASSES)
     ]
-    hour = F.window("timestamp", "1 hour")
+    hour = F.col("hour.start").cast("timestamp_ntz").alias("hour_bucket")
     return (
-        logs.withWatermark("timestamp", lateness)
-        .groupBy("service_name", hour)
+        _watermarked(logs, lateness)
+        .groupBy("service_name", F.window("event_time", "1 hour").alias("hour"))
         .agg(*counts)
-        .select("service_name", F.col("window.start").alias("hour_bucket"), *S.COUNT_COLUMNS)
+        .select("service_name", hour, *S.COUNT_COLUMNS)
     )
 
 
 def deduplicated(logs: DataFrame, lateness: str = "1 hour") -> DataFrame:
     """Stream without repeated ids; an id is remembered for ``lateness`` of event time."""
-    return logs.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(["log_uuid"])
+    unique = _watermarked(logs, lateness).dropDuplicatesWithinWatermark(["log_uuid"])
+    return unique.drop("event_time")
+
+
+def _watermarked(logs: DataFrame, lateness: str) -> DataFrame:
+    """A watermark needs a TIMESTAMP. With the session in UTC it is the same wall time."""
+    return logs.withColumn("event_time", F.col("timestamp").cast("timestamp")).withWatermark(
+        "event_time", lateness
+    )
 
 
 def live_page(
@@ -100,17 +108,20 @@ def live_page(
 ) -> StreamingQuery:
     """Keep the newest rows that fit the filters of ``search.matching`` up to date.
 
-    A batch only has to be merged with the page before it: at most ``limit`` rows. Every
-    batch writes its own page folder, so a repeated batch rewrites the same page.
+    A batch only has to be merged with the page before it: at most ``limit`` rows. Pages
+    take turns in two folders, so the page before is untouched while a batch writes its
+    own, and a repeated batch gives the same page.
     """
+    limit = search.check_limit(limit)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = search.result_columns(search.matching(batch, **filters))
-        page = _page_before(batch.sparkSession, path, batch_id)
+        page = _newest_page(batch.sparkSession, path, before=batch_id)
         if page is not None:
             rows = rows.unionByName(page)
         newest = rows.orderBy(*search.newest_first()).limit(limit)
-        newest.coalesce(1).write.mode("overwrite").parquet(f"{path}/page_id={batch_id}")
+        stamped = newest.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        stamped.coalesce(1).write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
 
     return (
         logs.writeStream.foreachBatch(merge)
@@ -120,28 +131,29 @@ def live_page(
     )
 
 
-def _page_schema():
-    return S.T.StructType(
-        [
-            *[f for f in S.LOGS_SCHEMA if f.name != "ingest_id"],
-            S.T.StructField("page_id", S.T.LongType()),
-        ]
-    )
+_PAGE_SCHEMA = T.StructType(
+    [
+        *[f for f in S.LOGS_SCHEMA if f.name != "ingest_id"],
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("slot", T.IntegerType()),
+    ]
+)
 
 
-def _page_before(spark: SparkSession, path: str, batch_id: int | None) -> DataFrame | None:
-    pages = read_table(spark, path, _page_schema())
+def _newest_page(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    pages = read_table(spark, path, _PAGE_SCHEMA)
     if pages is None:
         return None
-    if batch_id is not None:
-        pages = pages.filter(F.col("page_id") < batch_id)
-    newest = pages.agg(F.max("page_id")).first()[0]
+    if before is not None:
+        # The slot this batch will write is not read, whatever is in it.
+        pages = pages.filter((F.col("slot") != before % 2) & (F.col("batch_id") < before))
+    newest = pages.agg(F.max("batch_id")).first()[0]
     if newest is None:
         return None
-    return pages.filter(F.col("page_id") == newest).select(*S.LOG_COLUMNS)
+    return pages.filter(F.col("batch_id") == newest).select(*S.LOG_COLUMNS)
 
 
 def read_live_page(spark: SparkSession, path: str) -> DataFrame | None:
-    """The current page, newest row first; None before the first batch."""
-    page = _page_before(spark, path, None)
+    """The current page, newest row first; None before the first batch with rows."""
+    page = _newest_page(spark, path)
     return None if page is None else page.orderBy(*search.newest_first())

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,26 +13,45 @@ from logbrook.operators import ingest
 from logbrook.sources import tables as t
 
 
+@contextmanager
+def _kept(events: DataFrame, staging: str | None) -> Iterator[DataFrame]:
+    """The rows, held for several uses: in a written table, or in the executors."""
+    if staging:
+        events.write.mode("overwrite").parquet(staging)
+        yield events.sparkSession.read.schema(events.schema).parquet(staging)
+        return
+    held = events.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def store_batch(
-    events: DataFrame, tables: t.LogTables, run_id: str, batch_id: int, repeated: bool = False
+    events: DataFrame,
+    tables: t.LogTables,
+    run_id: str,
+    batch_id: int,
+    repeated: bool = False,
+    staging: str | None = None,
 ) -> None:
     """Write a batch of ``ingest_lines`` rows: logs, hourly partials, and rejects.
 
-    The checked batch is kept for the three writes, so its lines are parsed once; a lost
-    executor's share is recomputed from the source's byte ranges. Partials and rejects
-    replace what an earlier try of the same batch wrote. Log rows are appended; for a
-    batch that may be a repetition (``repeated``), the rows already there are left out.
+    The checked batch is kept for the three writes, so its lines are parsed once. A
+    micro-batch is kept in the executors; a lost executor's share is recomputed from the
+    source's byte ranges. A bulk load names a ``staging`` folder instead.
+
+    Partials and rejects replace what an earlier try of the same batch wrote. Log rows are
+    appended; for a batch that may be a repetition (``repeated``), the rows already there
+    are left out.
     """
-    checked = events.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with _kept(events, staging) as checked:
         logs = ingest.accepted(checked)
         ingest_id = f"{run_id}/{batch_id}"
         fresh = t.not_yet_stored(logs, tables.logs, ingest_id) if repeated else logs
         t.write_logs(fresh, tables.logs, ingest_id)
         t.write_rollup(logs, tables.hourly, run_id, batch_id)
         t.write_rejects(ingest.rejected(checked), tables.rejects, run_id, batch_id)
-    finally:
-        checked.unpersist()
 
 
 class BatchSink:
@@ -52,10 +72,19 @@ class BatchSink:
 
 
 def load_lines(
-    lines: DataFrame, tables: t.LogTables, run_id: str, as_of: dt.datetime | None = None
+    lines: DataFrame,
+    tables: t.LogTables,
+    run_id: str,
+    as_of: dt.datetime | None = None,
+    staging: str | None = None,
 ) -> None:
-    """Store a batch DataFrame of lines; running it again with its ``run_id`` adds nothing."""
-    store_batch(ingest.ingest_lines(lines, as_of), tables, run_id, 0, repeated=True)
+    """Store a batch DataFrame of lines; running it again with its ``run_id`` adds nothing.
+
+    For a load that is larger than the executors' disks, name a ``staging`` folder on
+    shared storage. It is the caller's to remove.
+    """
+    events = ingest.ingest_lines(lines, as_of)
+    store_batch(events, tables, run_id, 0, repeated=True, staging=staging)
 
 
 def replay_rejects(
@@ -68,18 +97,16 @@ def replay_rejects(
     """Check the rejects again; store those that pass and keep the others.
 
     ``repair`` may change the ``line`` before the check. Rows are stored first and taken
-    off the rejects afterwards; both steps can be repeated under the same ``replay_id``.
+    off the rejects afterwards. The whole replay can be repeated under its ``replay_id``:
+    it looks at the rejects as if it had not run, and replaces what it wrote.
     """
-    pending = t.read_rejects(spark, tables)
+    pending = t.read_rejects(spark, tables, except_replay=replay_id)
     lines = repair(pending) if repair else pending
-    passed = ingest.ingest_lines(lines.drop("reason"), as_of).filter(F.col("reason").isNull())
-    passed = passed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    events = ingest.ingest_lines(lines.drop("reason"), as_of)
+    with _kept(events.filter(F.col("reason").isNull()), None) as passed:
         logs = ingest.accepted(passed)
         run_id = f"replay-{replay_id}"
         fresh = t.not_yet_stored(logs, tables.logs, f"{run_id}/0")
         t.write_logs(fresh, tables.logs, f"{run_id}/0")
         t.write_rollup(logs, tables.hourly, run_id, 0)
         t.mark_resolved(passed, tables, replay_id)
-    finally:
-        passed.unpersist()
