@@ -18,7 +18,8 @@ def read_lines(
     """
     if offsets:
         tail.register(spark)
-        return spark.read.format("logtail").option("pattern", pattern).load(path)
+        reader = spark.read.format("logtail").option("pattern", pattern)
+        return reader.option("parallelism", spark.sparkContext.defaultParallelism).load(path)
     text = spark.read.option("pathGlobFilter", pattern).text(path)
     return text.select(
         F.col("_metadata.file_path").alias("file"),
@@ -31,4 +32,5 @@ def follow_lines(spark: SparkSession, path: str, pattern: str = "*.log", **optio
     """Lines appended to the files, as a stream. ``options`` are those of ``logtail``."""
     tail.register(spark)
     reader = spark.readStream.format("logtail").option("pattern", pattern)
+    reader = reader.option("parallelism", spark.sparkContext.defaultParallelism)
     return reader.options(**options).load(path)

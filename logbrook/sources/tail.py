@@ -11,7 +11,8 @@ is read by many tasks. The folder must be reachable by all executors.
 Options
   path                folder to watch (required)
   pattern             file name pattern, default ``*.log``
-  splitBytes          size of one read task, default 32 MiB
+  splitBytes          largest share of one read task, default 64 MiB
+  parallelism         read tasks to aim for while shares are smaller than that
   maxBytesPerTrigger  cap of one micro-batch; the rest follows in the next ones
   registry            JSON file that repeats the planned offsets. Spark does not tell a
                       Python source its committed offset when it plans the first
@@ -47,7 +48,9 @@ from pyspark.sql.datasource import (
 # Executors may not have this package installed: ship the classes themselves.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK = 4 * 1024 * 1024
+MIB = 1024 * 1024
+BLOCK = 4 * MIB
+LEAST_SPLIT = MIB
 PROBE = 64 * 1024
 PLAN_THREADS = 16
 
@@ -83,9 +86,10 @@ class Folder:
             raise ValueError("logtail needs the option 'path'")
         self.filesystem, self.root = _filesystem(options["path"])
         self.pattern = options.get("pattern", "*.log")
-        self.split_bytes = int(options.get("splitBytes", 32 * 1024 * 1024))
-        if self.split_bytes <= 0:
-            raise ValueError("splitBytes must be positive")
+        self.split_bytes = int(options.get("splitBytes", 64 * MIB))
+        self.parallelism = int(options.get("parallelism", 1))
+        if self.split_bytes <= 0 or self.parallelism <= 0:
+            raise ValueError("splitBytes and parallelism must be positive")
 
     def sizes(self) -> dict[str, int]:
         found = self.filesystem.get_file_info(pafs.FileSelector(self.root, allow_not_found=True))
@@ -121,10 +125,14 @@ class Folder:
                 low += len(data)
         return -1
 
-    def splits(self, file: str, low: int, high: int) -> list[ByteRange]:
-        step = self.split_bytes
+    def splits(self, ranges: list[tuple[str, int, int]]) -> list[ByteRange]:
+        """Cut (file, low, high) ranges into read tasks of about equal size."""
+        total = sum(high - low for _, low, high in ranges)
+        step = min(self.split_bytes, max(LEAST_SPLIT, -(-total // self.parallelism)))
         return [
-            ByteRange(file, at, min(at + step, high), low, high) for at in range(low, high, step)
+            ByteRange(file, at, min(at + step, high), low, high)
+            for file, low, high in ranges
+            for at in range(low, high, step)
         ]
 
     def read(self, part: ByteRange) -> Iterator[pa.RecordBatch]:
@@ -173,7 +181,7 @@ class OnceReader(DataSourceReader):
 
     def partitions(self) -> list[ByteRange]:
         sizes = self.folder.sizes()
-        return [p for file in sorted(sizes) for p in self.folder.splits(file, 0, sizes[file])]
+        return self.folder.splits([(file, 0, sizes[file]) for file in sorted(sizes)])
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         return self.folder.read(partition)
@@ -216,11 +224,11 @@ class TailReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[ByteRange]:
         self.planned = {**start, **end}
         self._remember()
-        parts = []
-        for file, high in sorted(end.items()):
-            low = start.get(file, 0)
-            parts += self.folder.splits(file, 0 if high < low else low, high)
-        return parts
+        lows = {file: start.get(file, 0) for file in end}
+        # An end before the start means that the file was replaced by a smaller one.
+        return self.folder.splits(
+            [(f, 0 if high < lows[f] else lows[f], high) for f, high in sorted(end.items())]
+        )
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         return self.folder.read(partition)
