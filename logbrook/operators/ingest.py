@@ -140,18 +140,16 @@ def validate(events: DataFrame) -> DataFrame:
 def enrich(events: DataFrame) -> DataFrame:
     """Add ``service_name``, ``log_date`` and a repeatable ``log_uuid``.
 
-    A tailed line is identified by its file, byte offset and text, so delivering it again
-    gives the same id, and a rotated file that reuses an offset gives another one. Rows
-    that do not come from a file use their own fields.
+    A line is identified by its file, byte offset and text, so delivering it again gives
+    the same id, and a rotated file that reuses an offset gives another one. Without
+    offsets equal lines of a file share an id. Rows that are no lines use their fields.
     """
-    natural = F.concat_ws(
-        "\u0001", F.col("timestamp").cast("string"), "service", "host", "severity", "message"
-    )
-    if {"file", "off", "line"} <= set(events.columns):
-        tailed = F.concat_ws("\u0001", "file", F.col("off").cast("string"), "line")
-        key = F.when(F.col("off").isNotNull(), tailed).otherwise(natural)
-    else:
-        key = natural
+    parts = [F.col(c).cast("string") for c in ("file", "off", "line") if c in events.columns]
+    if "line" not in events.columns:
+        pairs = F.to_json(F.array_sort(F.map_entries("metadata")))
+        fields = ("service", "host", "severity", "message")
+        parts = [F.col("timestamp").cast("string"), *map(F.col, fields), pairs]
+    key = F.concat_ws("\u0001", *parts)
     return events.withColumns(
         {
             "service_name": F.col("service"),
@@ -161,9 +159,21 @@ def enrich(events: DataFrame) -> DataFrame:
     )
 
 
+def _computed_once(column: str) -> Column:
+    """The column itself, but as a value that filters are not rewritten into.
+
+    A filter on a computed column is normally moved below the projection and so computes
+    the column a second time; for ``reason`` that would be the whole parse, once per
+    projection. The planner leaves filters above a projection with a non-deterministic
+    column. The extra branch is never taken.
+    """
+    return F.when(F.spark_partition_id() >= 0, F.col(column))
+
+
 def ingest_lines(lines: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
     """Lines (``line``, optionally ``file`` and ``off``) to log rows with a ``reason``."""
-    return enrich(validate(normalize_ts(extract_fields(parse_lines(lines)), as_of)))
+    rows = enrich(validate(normalize_ts(extract_fields(parse_lines(lines)), as_of)))
+    return rows.withColumn("reason", _computed_once("reason"))
 
 
 def accepted(events: DataFrame) -> DataFrame:

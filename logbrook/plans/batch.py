@@ -11,6 +11,7 @@ from logbrook import schema as S
 from logbrook.functions import encode_cursor, severity_class, short_name
 from logbrook.operators import analytics, ingest, periods, rollup, saved, search
 from logbrook.plans import events_view as view
+from logbrook.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,8 +105,11 @@ def registry_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.service_registry(view.log_view(spark, sf_dir))
 
 
-def health_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.service_health(registry_table(spark, sf_dir), rollup_table(spark, sf_dir))
+def health_table(spark: SparkSession, sf_dir: str, *period: dt.datetime) -> DataFrame:
+    """Registry and rollup come from the same stored partials, so logs are read once."""
+    partials = written(rollup.hourly_partials(view.log_view(spark, sf_dir)), "hourly")
+    registry, hours = rollup.registry_of(partials), rollup.rollup_of(partials)
+    return analytics.service_health(registry, hours, *period)
 
 
 # --- search -------------------------------------------------------------------------
@@ -386,10 +390,7 @@ def _service_health(spark, sf_dir):
     ),
 )
 def _service_health_window(spark, sf_dir):
-    period = periods.preset_period("7d", AS_OF)
-    return analytics.service_health(
-        registry_table(spark, sf_dir), rollup_table(spark, sf_dir), *period
-    )
+    return health_table(spark, sf_dir, *periods.preset_period("7d", AS_OF))
 
 
 @register(

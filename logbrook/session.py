@@ -38,6 +38,13 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/logbrook-{label}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in shared storage: computed once, whatever is read from them."""
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """Parquet table with a declared schema, or None where nothing was written yet.
 

@@ -102,7 +102,9 @@ def not_yet_stored(logs: DataFrame, path: str, ingest_id: str) -> DataFrame:
     """Rows of a repeated batch that its first, interrupted try did not write.
 
     Only the days of the batch are looked at, and only the ids that carry its
-    ``ingest_id``; files of other batches are skipped by their statistics.
+    ``ingest_id``; files of other batches are skipped by their statistics. Equal lines can
+    share an id, so ids are compared by how often they are there: of an id that was
+    written too few times the missing copies are added.
     """
     spark = logs.sparkSession
     stored = read_table(spark, path, S.LOGS_SCHEMA)
@@ -115,7 +117,16 @@ def not_yet_stored(logs: DataFrame, path: str, ingest_id: str) -> DataFrame:
     )
     if earlier.isEmpty():
         return logs
-    return logs.join(earlier.select("log_uuid"), "log_uuid", "left_anti")
+    have = earlier.groupBy("log_uuid").agg(F.count("*").alias("_have"))
+    columns = logs.columns
+    absent = logs.join(have, "log_uuid", "left_anti").select(columns)
+    copies = logs.join(have, "log_uuid").groupBy("log_uuid", "_have").agg(
+        F.count("*").alias("_need"), F.first(F.struct(*columns)).alias("_row")
+    )
+    lacking = copies.filter(F.col("_need") > F.col("_have")).select(
+        "_row", F.explode(F.sequence(F.col("_have") + 1, F.col("_need")))
+    )
+    return absent.unionByName(lacking.select("_row.*").select(columns))
 
 
 # --- tables with one folder per batch -----------------------------------------------
@@ -137,8 +148,8 @@ def write_batch(rows: DataFrame, path: str, run_id: str, batch_id: int) -> None:
 
 
 def write_rollup(logs: DataFrame, path: str, run_id: str, batch_id: int) -> None:
-    """Store what one batch adds to the hourly counts: a few rows, so one file."""
-    write_batch(rollup.hourly_partials(logs).coalesce(1), path, run_id, batch_id)
+    """Store what one batch adds to the hourly counts."""
+    write_batch(rollup.hourly_partials(logs), path, run_id, batch_id)
 
 
 def _last_fold(spark: SparkSession, tables: LogTables) -> tuple[int, dict[str, int]]:

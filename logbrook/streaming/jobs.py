@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logbrook import schema as S
 from logbrook.functions import severity_class
-from logbrook.operators import search
+from logbrook.operators import ingest, search
 from logbrook.session import read_table
 from logbrook.sources.lines import follow_lines
 from logbrook.sources.tables import LogTables
@@ -35,10 +35,17 @@ def ingest_stream(
 
     ``once`` takes what is there and ends; otherwise a batch is flushed every
     ``interval``. Events of any age are accepted: they add to the counts of their hour.
-    A new checkpoint needs a new ``run_id``.
+    A new checkpoint needs a new ``run_id``. The progress of the query reports how many
+    rows were accepted and rejected, as the observed metrics ``ingest``.
     """
+    events = ingest.ingest_lines(lines, as_of).observe(
+        "ingest",
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("reason").isNull()).alias("accepted"),
+        F.count("reason").alias("rejected"),
+    )
     return (
-        lines.writeStream.foreachBatch(BatchSink(tables, run_id, as_of))
+        events.writeStream.foreachBatch(BatchSink(tables, run_id))
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(once, interval))
         .start()

@@ -55,18 +55,17 @@ def store_batch(
 
 
 class BatchSink:
-    """``foreachBatch`` function of one run of a stream.
+    """``foreachBatch`` function of one run of a stream of ``ingest_lines`` rows.
 
     After a restart Spark repeats at most the batch it was in. So only the first batch of
     a run is compared with what is stored.
     """
 
-    def __init__(self, tables: t.LogTables, run_id: str, as_of: dt.datetime | None = None):
-        self.tables, self.run_id, self.as_of = tables, run_id, as_of
+    def __init__(self, tables: t.LogTables, run_id: str):
+        self.tables, self.run_id = tables, run_id
         self.first = True
 
-    def __call__(self, lines: DataFrame, batch_id: int) -> None:
-        events = ingest.ingest_lines(lines, self.as_of)
+    def __call__(self, events: DataFrame, batch_id: int) -> None:
         store_batch(events, self.tables, self.run_id, batch_id, repeated=self.first)
         self.first = False
 

@@ -42,6 +42,7 @@ def env(spark, tmp_path):
                 spark, str(self.folder), self.tables, self.checkpoint, "run-1", once=True, **options
             )
             query.awaitTermination()
+            return query.lastProgress
 
         def logs(self):
             return t.read_logs(spark, self.tables.logs)
@@ -62,7 +63,8 @@ def test_stream_equals_batch_with_late_events(spark, env):
     append(log, wire(7, 7)[:20], end="")
     env.run()
     append(log, wire(7, 7)[20:])
-    env.run()
+    progress = env.run()
+    assert progress["observedMetrics"]["ingest"].asDict() == {"n_rows": 1, "accepted": 1, "rejected": 0}
 
     whole = ingest.ingest_lines(read_lines(spark, str(env.folder), offsets=True))
     good = ingest.accepted(whole)

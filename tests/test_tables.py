@@ -75,6 +75,20 @@ def test_interrupted_batch_is_completed(spark, tables):
     )
 
 
+def test_interrupted_load_of_equal_lines_is_completed(spark, tables):
+    from logbrook.operators import ingest
+
+    # No offsets, so equal lines share an id; the first try wrote one copy of three.
+    lines = spark.createDataFrame([("f", wire(i)) for i in (0, 1, 1, 1, 2)], "file string, line string")
+    events = ingest.ingest_lines(lines)
+    first = ingest.accepted(events).filter("message = 'm1'").limit(1)
+    t.write_logs(first, tables.logs, "r/0")
+    for _ in range(2):
+        sink.load_lines(lines, tables, "r")
+        got = t.read_logs(spark, tables.logs).groupBy("message").count().collect()
+        assert {r["message"]: r["count"] for r in got} == {"m0": 1, "m1": 3, "m2": 1}
+
+
 def test_staged_load_equals_cached_load(spark, tmp_path):
     lines = lines_df(spark, [wire(i) for i in range(30)] + ["junk"])
     a, b = (t.LogTables(str(tmp_path / n)) for n in "ab")
