@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logbrook import schema as S
-from logbrook.operators import analytics, search
+from logbrook.operators import analytics, saved, search
 from logbrook.plans import events_view as view
 from logbrook.plans.batch import (
     _DAMAGED,
@@ -190,6 +190,28 @@ def _compact_day(spark, sf_dir):
     return logs.select("log_uuid", "service_name", "log_date", "timestamp")
 
 
+@register(
+    "stored_saved_queries",
+    with_logs(
+        f"""SELECT query_name, {_ROW} FROM (SELECT 'gateway warnings' AS query_name, * FROM logs
+          WHERE service_name = 'api-gateway' AND severity = 'WARN' {_NEWEST} LIMIT 20)
+        UNION ALL SELECT query_name, {_ROW} FROM (SELECT 'reports' AS query_name, * FROM logs
+          WHERE service_name = 'report-service' {_NEWEST} LIMIT 50)"""
+    ),
+)
+def _stored_saved_queries(spark, sf_dir):
+    tables = t.LogTables(work_dir(spark, "saved-queries"))
+    for row in (
+        (1, "gateway warnings", '{"service":"api-gateway","severity":"warn","limit":20}', "cli"),
+        (2, "reports", '{"service":"report-service"}', "cli"),
+    ):
+        new = spark.createDataFrame([(*row, dt.datetime(2024, 1, 31))], S.SAVED_QUERIES_SCHEMA)
+        t.save_queries(new, tables)
+    logs = view.log_view(spark, sf_dir)
+    found = saved.run_saved_queries(logs, t.read_saved_queries(spark, tables))
+    return found.select("query_name", *S.LOG_COLUMNS[:-1])
+
+
 @register(
     "csv_export",
     with_logs('SELECT "timestamp", service_name AS service, severity, message, host FROM logs'),

@@ -12,6 +12,7 @@ folder         layout                                      written by
 ``folded``     ``fold_id=``, what a fold covers            after its fold is complete
 ``resolved``   ``replay_id=``, rejects that passed later   overwrite of its own replay
 ``by_host``    ``log_date=``, sorted by host               append
+``saved_queries``  plain                                   append
 =============  ==========================================  ==============================
 """
 
@@ -28,6 +29,8 @@ from logbrook.operators import rollup
 from logbrook.operators.search import newest_first
 from logbrook.session import read_table
 
+MAX_LAYOUT_PARTITIONS = 20_000
+
 _BATCH_KEY = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
 _FOLD_KEY = [T.StructField("fold_id", T.LongType())]
 
@@ -70,21 +73,28 @@ def _day(day: dt.date) -> Column:
 
 
 def write_logs(
-    logs: DataFrame, path: str, ingest_id: str = "", severity_index: bool = False, mode="append"
+    logs: DataFrame,
+    path: str,
+    ingest_id: str = "",
+    severity_index: bool = False,
+    partitions: int | None = None,
 ) -> None:
     """Append rows to the log table, newest first within each file.
 
     Rebalancing brings the rows of a (day, service) together and, at run time, cuts a
     group that is too large into several tasks and files. A plain repartition by the same
-    columns would put a hot service's whole day into one task.
+    columns would put a hot service's whole day into one task. ``partitions`` should be
+    about the number of such groups (see ``layout_partitions``): with far fewer, every
+    task would hold pieces of many groups and write many small files.
     """
     rows = logs.select(
         *[f.name for f in S.LOGS_SCHEMA if f.name != "ingest_id"], F.lit(ingest_id).alias("ingest_id")
     )
+    number = [] if partitions is None else [partitions]
     writer = (
-        rows.hint("rebalance", *S.LOGS_PARTITIONING)
+        rows.hint("rebalance", *number, *S.LOGS_PARTITIONING)
         .sortWithinPartitions(*S.LOGS_PARTITIONING, *newest_first())
-        .write.mode(mode)
+        .write.mode("append")
         .partitionBy(*S.LOGS_PARTITIONING)
     )
     if severity_index:
@@ -92,6 +102,17 @@ def write_logs(
     writer.parquet(path)
 
 
+def layout_partitions(logs: DataFrame) -> int:
+    """Shuffle partitions for ``write_logs``: one per (day, service), within bounds.
+
+    Not fewer than the session's setting, because small partitions are merged at run time,
+    and not so many that the shuffle's own bookkeeping grows too large.
+    """
+    groups = logs.select(*S.LOGS_PARTITIONING).distinct().count()
+    least = int(logs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(groups, MAX_LAYOUT_PARTITIONS))
+
+
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
     """The log table. Filters on ``log_date`` and ``service_name`` prune folders."""
     stored = read_table(spark, path, S.LOGS_SCHEMA)
@@ -261,21 +282,39 @@ def mark_resolved(reject_ids: DataFrame, tables: LogTables, replay_id: str) -> N
     reject_ids.select("reject_id").write.mode("overwrite").parquet(path)
 
 
+# --- saved searches -----------------------------------------------------------------
+
+
+def save_queries(queries: DataFrame, tables: LogTables) -> None:
+    """Add saved searches; ``query_text`` holds their parameters as JSON."""
+    columns = S.SAVED_QUERIES_SCHEMA.fieldNames()
+    queries.select(columns).write.mode("append").parquet(tables.path("saved_queries"))
+
+
+def read_saved_queries(spark: SparkSession, tables: LogTables) -> DataFrame:
+    stored = read_table(spark, tables.path("saved_queries"), S.SAVED_QUERIES_SCHEMA)
+    return _empty(spark, S.SAVED_QUERIES_SCHEMA) if stored is None else stored
+
+
 # --- other layouts ------------------------------------------------------------------
 
 
-def compact_day(spark: SparkSession, path: str, day: dt.date, staging: str) -> int:
+def compact_day(
+    spark: SparkSession, path: str, day: dt.date, staging: str, partitions: int | None = None
+) -> int:
     """Rewrite one day of the log table into few, time-ordered files; returns its rows.
 
     The day is first written to ``staging`` and checked there, then swapped in from there:
     no job reads the files it replaces, and an interrupted swap is repaired by
     ``swap_day``. Range partitioning splits a hot service by time, which also gives files
-    narrow time ranges to skip by. Run it for a day that no job is writing.
+    narrow time ranges to skip by. ``partitions`` sets the number of ranges; the session's
+    shuffle partitions otherwise. Run it for a day that no job is writing.
     """
     rows = read_logs(spark, path).filter(_day(day))
     before = rows.count()
+    number = [] if partitions is None else [partitions]
     (
-        rows.repartitionByRange("service_name", F.desc("timestamp"))
+        rows.repartitionByRange(*number, "service_name", F.desc("timestamp"))
         .sortWithinPartitions("service_name", *newest_first())
         .write.mode("overwrite")
         .partitionBy(*S.LOGS_PARTITIONING)
@@ -301,7 +340,7 @@ def swap_day(spark: SparkSession, path: str, staging: str) -> None:
     )
 
 
-def write_logs_by_host(logs: DataFrame, path: str) -> None:
+def write_logs_by_host(logs: DataFrame, path: str, partitions: int | None = None) -> None:
     """Second layout for searches by host over all services.
 
     Rows are range-partitioned by day, host and time: a host's rows lie in few files, and
@@ -309,10 +348,11 @@ def write_logs_by_host(logs: DataFrame, path: str) -> None:
     """
     keys = ["host", "service_name", "log_date", "timestamp", "log_uuid"]
     order = ["log_date", "host", *newest_first()]
+    number = [] if partitions is None else [partitions]
     (
         logs.dropna(subset=keys)
         .select(*S.LOG_COLUMNS)
-        .repartitionByRange("log_date", "host", F.desc("timestamp"))
+        .repartitionByRange(*number, "log_date", "host", F.desc("timestamp"))
         .sortWithinPartitions(*order)
         .write.mode("append")
         .partitionBy("log_date")

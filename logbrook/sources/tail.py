@@ -74,7 +74,7 @@ def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     if path.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
     if "://" in path:
-        return pafs.FileSystem.from_uri(path)
+        return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return pafs.LocalFileSystem(), path
 
 

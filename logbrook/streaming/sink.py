@@ -49,7 +49,7 @@ def store_batch(
         logs = ingest.accepted(checked)
         ingest_id = f"{run_id}/{batch_id}"
         fresh = t.not_yet_stored(logs, tables.logs, ingest_id) if repeated else logs
-        t.write_logs(fresh, tables.logs, ingest_id)
+        t.write_logs(fresh, tables.logs, ingest_id, partitions=t.layout_partitions(logs))
         t.write_rollup(logs, tables.hourly, run_id, batch_id)
         t.write_rejects(ingest.rejected(checked), tables.rejects, run_id, batch_id)
 
@@ -106,6 +106,6 @@ def replay_rejects(
         logs = ingest.accepted(passed)
         run_id = f"replay-{replay_id}"
         fresh = t.not_yet_stored(logs, tables.logs, f"{run_id}/0")
-        t.write_logs(fresh, tables.logs, f"{run_id}/0")
+        t.write_logs(fresh, tables.logs, f"{run_id}/0", partitions=t.layout_partitions(logs))
         t.write_rollup(logs, tables.hourly, run_id, 0)
         t.mark_resolved(passed, tables, replay_id)

@@ -191,6 +191,25 @@ def test_hot_service_is_split_over_files(spark, tables):
     assert t.read_logs(spark, tables.logs).count() == 60_000
 
 
+def test_layout_partitions_follow_the_groups(spark, sf_dir, monkeypatch):
+    logs = log_view(spark, sf_dir)
+    groups = logs.select("log_date", "service_name").distinct().count()
+    assert groups > 8 and t.layout_partitions(logs) == groups
+    assert t.layout_partitions(logs.limit(1)) == 8  # the session's setting
+    monkeypatch.setattr(t, "MAX_LAYOUT_PARTITIONS", 20)
+    assert t.layout_partitions(logs) == 20
+
+
+def test_saved_queries_are_kept(spark, tables):
+    from logbrook import schema as S
+
+    assert t.read_saved_queries(spark, tables).count() == 0
+    rows = [(1, "a", "{}", "cli", T0), (2, "b", "{}", "cli", T0)]
+    for row in rows:
+        t.save_queries(spark.createDataFrame([row], S.SAVED_QUERIES_SCHEMA), tables)
+    assert sorted(tuple(r) for r in t.read_saved_queries(spark, tables).collect()) == rows
+
+
 def test_host_layout(spark, tables, sf_dir):
     logs = log_view(spark, sf_dir)
     no_host = logs.limit(3).withColumn("host", F.lit(None).cast("string"))
