@@ -21,6 +21,9 @@ from logbrook.functions import (
 # Parallel slices of a hot (service, day) group in per_day_newest, per level of ranking.
 RANK_SLICES = 64
 
+# Days that search_page reads first when a search has no start.
+RECENT_DAYS = (1, 30)
+
 
 @dataclass(frozen=True)
 class Page:
@@ -176,9 +179,18 @@ def search_page(logs: DataFrame, service: str, limit: int = S.SEARCH_DEFAULT_LIM
 
     One row more than the page is fetched to learn whether there is a next page. The
     page limit bounds what reaches the driver.
+
+    A search without a start covers the whole history, while its page mostly lies in the
+    last days before the token, the end or ``as_of``. So those days are tried first; only
+    when they do not fill the page, more are read. The page is the same in any case.
     """
-    fetched = _newest(matching(logs, service, **filters), check_limit(limit) + 1)
-    rows = fetched.collect()
+    size = check_limit(limit) + 1
+    rows = []
+    for start in _starts_to_try(filters):
+        fetched = _newest(matching(logs, service, **{**filters, "start": start}), size)
+        rows = fetched.collect()
+        if len(rows) == size:
+            break
     token = None
     if len(rows) > limit:
         last = rows[limit - 1]
@@ -186,6 +198,16 @@ def search_page(logs: DataFrame, service: str, limit: int = S.SEARCH_DEFAULT_LIM
     return Page(logs.sparkSession.createDataFrame(rows[:limit], fetched.schema), token)
 
 
+def _starts_to_try(filters: dict) -> list[dt.datetime | None]:
+    """Start bounds for ``search_page``, nearest first; the caller's own bound comes last."""
+    given = filters.get("start")
+    token = filters.get("page_token")
+    latest = decode_cursor(token)[0] if token else filters.get("end") or filters.get("as_of")
+    if given is not None or latest is None or filters.get("granularity", "time") != "time":
+        return [given]
+    return [*(_utc(latest) - dt.timedelta(days=d) for d in RECENT_DAYS), None]
+
+
 def newest_per_group(rows: DataFrame, n: int, *keys: str) -> DataFrame:
     """Newest ``n`` rows of every group, with their ``rank`` from 1.
 

@@ -82,7 +82,7 @@ def _read_lines_once(spark, sf_dir):
     tables = t.LogTables(f"{base}/tables")
     view.lines_of(view.table(spark, sf_dir, "events")).select("line").write.text(f"{base}/files")
     lines = read_lines(spark, f"{base}/files", pattern="part-*")
-    load_lines(lines, tables, "load", staging=f"{base}/staging")
+    load_lines(lines, tables, "load")
     logs = t.read_logs(spark, tables.logs)
     return logs.groupBy("severity").agg(F.count("*").alias("n_rows"))
 

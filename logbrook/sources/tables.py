@@ -194,10 +194,13 @@ def _partials(
 ) -> DataFrame | None:
     """The newest fold and the batches it does not cover, optionally only up to some batch."""
     names = S.HOURLY_SCHEMA.fieldNames()
-    batches = read_table(spark, tables.hourly, T.StructType([*S.HOURLY_SCHEMA, *_BATCH_KEY]))
-    if batches is None:
-        return None
+    schema = T.StructType([*S.HOURLY_SCHEMA, *_BATCH_KEY])
+    batches = read_table(spark, tables.hourly, schema)
     fold_id, covered = _last_fold(spark, tables)
+    if batches is None:
+        if not fold_id:
+            return None
+        batches = _empty(spark, schema)
     rest = batches.filter(~_covered(covered) & (F.lit(True) if upto is None else _covered(upto)))
     if not fold_id:
         return rest.select(names)

@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logbrook.operators import ingest
+from logbrook.session import work_dir
 from logbrook.sources import tables as t
 
 
@@ -77,12 +78,15 @@ def load_lines(
     as_of: dt.datetime | None = None,
     staging: str | None = None,
 ) -> None:
-    """Store a batch DataFrame of lines; running it again with its ``run_id`` adds nothing.
+    """Store a batch DataFrame of lines.
 
-    For a load that is larger than the executors' disks, name a ``staging`` folder on
-    shared storage. It is the caller's to remove.
+    The same lines under the same ``run_id`` are stored once, so an interrupted load is
+    completed by running it again; other lines need another ``run_id``. The checked rows
+    are held in a written table, by default below the cluster's checkpoint folder, because
+    a load can be larger than the executors' disks. It can be removed afterwards.
     """
     events = ingest.ingest_lines(lines, as_of)
+    staging = staging or work_dir(lines.sparkSession, "load")
     store_batch(events, tables, run_id, 0, repeated=True, staging=staging)
 
 
@@ -96,8 +100,9 @@ def replay_rejects(
     """Check the rejects again; store those that pass and keep the others.
 
     ``repair`` may change the ``line`` before the check. Rows are stored first and taken
-    off the rejects afterwards. The whole replay can be repeated under its ``replay_id``:
-    it looks at the rejects as if it had not run, and replaces what it wrote.
+    off the rejects afterwards. An interrupted replay is completed by running it again
+    under its ``replay_id``: it looks at the rejects as if it had not run, and replaces what
+    it wrote. Rejects that came later need a replay with an id of its own.
     """
     pending = t.read_rejects(spark, tables, except_replay=replay_id)
     lines = repair(pending) if repair else pending

@@ -59,6 +59,24 @@ def test_page_keeps_the_filters(logs):
     assert ids(first.results) + ids(second.results) == errors[:10]
 
 
+def test_recent_days_are_tried_first(logs):
+    def tried(**filters):
+        return search._starts_to_try(filters)
+
+    end = dt.datetime(2026, 3, 20)
+    assert tried(end=end) == [dt.datetime(2026, 3, 19), dt.datetime(2026, 2, 18), None]
+    assert tried(as_of=end) == tried(end=end)
+    assert tried() == [None]
+    assert tried(start=T0, end=end) == [T0]
+    assert tried(end=end, granularity="date") == [None]
+    # Nothing in the last days, some rows in the last days, all rows: always the same page.
+    for end in (dt.datetime(2027, 1, 1), T0 + dt.timedelta(days=40), T0 + dt.timedelta(hours=30)):
+        for limit in (3, 20, 59, 60):
+            page = search.search_page(logs, "auth", limit, end=end)
+            assert ids(page.results) == ordered(logs)[:limit]
+            assert (page.next_cursor is None) == (limit == 60)
+
+
 def test_last_page_has_no_token(logs):
     assert search.search_page(logs, "auth", limit=60).next_cursor is None
     assert search.search_page(logs, "auth", limit=59).next_cursor is not None

@@ -89,10 +89,12 @@ def test_interrupted_load_of_equal_lines_is_completed(spark, tables):
         assert {r["message"]: r["count"] for r in got} == {"m0": 1, "m1": 3, "m2": 1}
 
 
-def test_staged_load_equals_cached_load(spark, tmp_path):
+def test_staged_load_equals_cached_batch(spark, tmp_path):
+    from logbrook.operators import ingest
+
     lines = lines_df(spark, [wire(i) for i in range(30)] + ["junk"])
     a, b = (t.LogTables(str(tmp_path / n)) for n in "ab")
-    sink.load_lines(lines, a, "r")
+    sink.store_batch(ingest.ingest_lines(lines), a, "r", 0)
     sink.load_lines(lines, b, "r", staging=str(tmp_path / "staging"))
     assert rows_of(t.read_logs(spark, a.logs)) == rows_of(t.read_logs(spark, b.logs))
     assert rows_of(t.read_rejects(spark, a)) == rows_of(t.read_rejects(spark, b))
