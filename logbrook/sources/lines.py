@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logbrook.sources import tail
 
 
+def _absolute(path: str) -> str:
+    """Executors have other working folders than the driver."""
+    return path if ":" in path.split("/")[0] else os.path.abspath(path)
+
+
 def read_lines(
     spark: SparkSession, path: str, pattern: str = "*.log", offsets: bool = False
 ) -> DataFrame:
@@ -19,7 +26,9 @@ def read_lines(
     if offsets:
         tail.register(spark)
         reader = spark.read.format("logtail").option("pattern", pattern)
-        return reader.option("parallelism", spark.sparkContext.defaultParallelism).load(path)
+        return reader.option("parallelism", spark.sparkContext.defaultParallelism).load(
+            _absolute(path)
+        )
     text = spark.read.option("pathGlobFilter", pattern).text(path)
     return text.select(
         F.col("_metadata.file_path").alias("file"),
@@ -33,4 +42,4 @@ def follow_lines(spark: SparkSession, path: str, pattern: str = "*.log", **optio
     tail.register(spark)
     reader = spark.readStream.format("logtail").option("pattern", pattern)
     reader = reader.option("parallelism", spark.sparkContext.defaultParallelism)
-    return reader.options(**options).load(path)
+    return reader.options(**options).load(_absolute(path))

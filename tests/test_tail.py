@@ -178,6 +178,12 @@ def test_batch_read(spark, tmp_path):
     assert sorted(r["line"] for r in plain.collect()) == sorted(e[2] for e in exact)
 
 
+def test_relative_folder(spark, tmp_path, monkeypatch):
+    put(tmp_path / "a.log", b"one\n")
+    monkeypatch.chdir(tmp_path)
+    assert [r["line"] for r in read_lines(spark, ".", offsets=True).collect()] == ["one"]
+
+
 def test_stream_resumes_from_its_checkpoint(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
