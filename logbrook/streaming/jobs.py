@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -72,6 +73,21 @@ def ingest_folder(
     return ingest_stream(lines, tables, checkpoint, run_id, **options)
 
 
+def catch_up(start: Callable[[], StreamingQuery]) -> int:
+    """Run a ``once`` query again and again until it finds nothing new; returns its runs.
+
+    With a Python source such a run is a single micro-batch: after a crash it only repeats
+    the interrupted one, and a byte cap is the cap of the run. ``start`` starts one run.
+    """
+    runs = 0
+    while True:
+        query = start()
+        query.awaitTermination()
+        if not any(progress["numInputRows"] for progress in query.recentProgress):
+            return runs
+        runs += 1
+
+
 def windowed_counts(logs: DataFrame, lateness: str = "1 hour") -> DataFrame:
     """Hourly severity counts as a stateful stream, for callers that want no tables.
 

@@ -126,6 +126,29 @@ def test_capped_ingest(spark, env):
     assert rows_of(env.rollup()) == rows_of(rollup.hourly_rollup(env.logs()))
 
 
+def test_catch_up_after_a_crash_and_under_a_cap(spark, env, monkeypatch):
+    log = env.folder / "a.log"
+    append(log, *[wire(i, i) for i in range(40)])
+
+    def start():
+        return jobs.ingest_folder(
+            spark, str(env.folder), env.tables, env.checkpoint, "run-1", once=True, max_bytes=4000
+        )
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(t, "write_rollup", fail)
+        with pytest.raises(Exception, match="lost"):
+            start().awaitTermination()
+    append(log, *[wire(i, i) for i in range(40, 60)])
+    assert jobs.catch_up(start) >= 2
+    assert env.logs().count() == 60
+    assert rows_of(env.rollup()) == rows_of(rollup.hourly_rollup(env.logs()))
+    assert jobs.catch_up(start) == 0
+
+
 @pytest.fixture
 def log_stream(spark, tmp_path):
     """A stream of log rows, fed one Parquet file at a time."""
