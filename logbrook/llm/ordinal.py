@@ -19,10 +19,15 @@ from logbrook.llm.common import documents, fields, utf8
 
 BUCKETS = 1 << 20
 SAMPLE_ROWS = 8192
+#: A bucket gets a weight if it is in so many sampled rows, and if the share of some grade among them is
+#: so many standard errors away from its share in all of them.
 MIN_DOCUMENTS = 6
+MIN_ERRORS = 4.0
+#: Bytes of word beginnings that are features too, for words that share a stem.
+HEADS = (4, 5, 6)
 GRADES = 3
 KEEP_FROM = 2
-KEEP_TAIL = 0.5
+KEEP_TAIL = 0.7
 SEED = 7
 
 _WHITE = b" \t\n\x0b\x0c\r"
@@ -38,10 +43,12 @@ def _level(part: int, whole: int, steps: int = 12) -> int:
 
 
 def buckets(text: bytes) -> np.ndarray:
-    """Sorted numbers of the features present: words, and levels of some measures of form."""
+    """Sorted numbers of the features present: words, their beginnings, odd endings, and levels of some measures of form."""
     words = text.translate(_LOWER).split()
     distinct = set(words)
+    heads = {b"\x02" + w[:size] for w in distinct for size in HEADS if len(w) > size}
     raw = text.split()
+    ends = {b"\x03" + w[-2:] for w in set(raw) if w[-1] in _SIGNS + b"!?"}
     lines = [line for line in text.split(b"\n") if line.strip(_WHITE)]
     bare = len(text.translate(None, _WHITE))
     upper = bare - len(text.translate(None, _WHITE + bytes(range(65, 91))))
@@ -57,8 +64,8 @@ def buckets(text: bytes) -> np.ndarray:
         b"distinct": _level(len(distinct), len(words)),
     }
     names = [b"\x01%s:%d" % item for item in form.items()]
-    hashed = np.fromiter(map(zlib.crc32, [*distinct, *names]), np.uint32, len(distinct) + len(names))
-    return np.unique(hashed % np.uint32(BUCKETS))
+    found = [*distinct, *heads, *ends, *names]
+    return np.unique(np.fromiter(map(zlib.crc32, found), np.uint32, len(found)) % np.uint32(BUCKETS))
 
 
 @dataclass
@@ -77,11 +84,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit(features: list[np.ndarray], grades: np.ndarray, grades_in_all: int = GRADES, steps: int = 300, ridge: float = 2e-4) -> OrdinalModel:
+def fit(features: list[np.ndarray], grades: np.ndarray, grades_in_all: int = GRADES, steps: int = 300, ridge: float = 5e-4) -> OrdinalModel:
     """Maximum likelihood of the cumulative-link model with a ridge, by full-batch Adam.
 
-    Only buckets found in MIN_DOCUMENTS rows get a weight. Without rows, or with one grade
-    only, the thresholds alone carry the answer.
+    Buckets that tell nothing about the grades get no weight, else the many words of a long document
+    would outweigh what is wrong with it. Without rows, or with one grade only, the thresholds alone
+    carry the answer.
     """
     shares = np.array([(np.sum(grades >= k) + 0.5) / (len(grades) + 1) for k in range(1, grades_in_all)])
     thresholds = np.log((1 - shares) / shares)
@@ -92,7 +100,9 @@ def fit(features: list[np.ndarray], grades: np.ndarray, grades_in_all: int = GRA
         return OrdinalModel(weights, thresholds)
     flat = np.concatenate(features).astype(np.int64)
     rows = np.repeat(np.arange(len(features)), lengths)
-    common = np.flatnonzero(np.bincount(flat, minlength=BUCKETS) >= MIN_DOCUMENTS)
+    common = telling(flat, rows, grades)
+    if not len(common):
+        return OrdinalModel(weights, thresholds)
     place = np.full(BUCKETS, -1, np.int64)
     place[common] = np.arange(len(common))
     used = place[flat] >= 0
@@ -128,6 +138,18 @@ def fit(features: list[np.ndarray], grades: np.ndarray, grades_in_all: int = GRA
     return OrdinalModel(weights, value[len(common)] + np.concatenate(([0], np.cumsum(np.exp(value[len(common) + 1 :])))))
 
 
+def telling(flat: np.ndarray, rows: np.ndarray, grades: np.ndarray) -> np.ndarray:
+    """Buckets that are frequent enough and differ in some grade's share."""
+    found = np.bincount(flat, minlength=BUCKETS)
+    errors = np.zeros(BUCKETS)
+    for grade in np.unique(grades):
+        share = np.mean(grades == grade)
+        here = np.bincount(flat, grades[rows] == grade, BUCKETS)
+        spread = np.sqrt(np.maximum(found * share * (1 - share), 1e-9))
+        errors = np.maximum(errors, np.abs(here - found * share) / spread)
+    return np.flatnonzero((found >= MIN_DOCUMENTS) & (errors >= MIN_ERRORS))
+
+
 def graded(labels: DataFrame) -> DataFrame:
     """One grade for each labelled document: 0 toxic, 1 of low quality, 2 good.
 
