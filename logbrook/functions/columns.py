@@ -46,5 +46,5 @@ def contains_text(text: Column, keyword: str | Column) -> Column:
 
 
 def clean_keyword(keyword: str | None) -> str | None:
-    """Search argument: trimmed, cut to the allowed length; blank means no filter."""
-    return (keyword or "").strip()[: S.KEYWORD_MAX_CHARS] or None
+    """Search argument: trimmed, and whole whatever its length; blank means no filter."""
+    return (keyword or "").strip() or None

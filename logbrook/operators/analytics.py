@@ -24,9 +24,9 @@ def stats(
     service: str | None = None,
     start: dt.datetime | None = None,
     end: dt.datetime | None = None,
-    limit: int | None = S.STATS_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Rollup rows, newest hour first. ``limit=None`` gives all of them."""
+    """Rollup rows, newest hour first: all of them, or a page of ``limit`` rows."""
     rows = rollup.filter(hours_within(start, end))
     if service is not None:
         rows = rows.filter(F.col("service_name") == service)

@@ -8,6 +8,7 @@ Every step is a narrow projection except the batch numbering at the end, so pars
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
@@ -24,15 +25,18 @@ def _field(name: str) -> Column:
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Add ``doc`` (the parsed line) and ``reason`` to rows that have a ``line``.
 
-    The line is parsed once, as the only element of a JSON array: that way text after
-    the object, or a second object, makes the line invalid. A required key that is
+    The line is parsed once, as the first element of a JSON array whose second element is
+    the line's own hash. The parser stops at the first closing bracket, so text after the
+    object is noticed because the hash is not found behind it. A required key that is
     present with a null value counts as present here; ``validate`` judges values.
     """
-    doc = F.try_parse_json(F.concat(F.lit("["), "line", F.lit("]")))
+    mark = F.xxhash64("line").cast("string")
+    doc = F.try_parse_json(F.concat(F.lit("["), "line", F.lit(',"'), mark, F.lit('"]')))
     has_keys = F.lit(True)
     for key in S.REQUIRED_KEYS:
         has_keys = has_keys & _field(key).isNotNull()
-    one_object = F.col("doc").isNotNull() & F.try_variant_get("doc", "$[1]", "variant").isNull()
+    second = F.try_variant_get("doc", "$[1]", "string")
+    one_object = F.coalesce(second == mark, F.lit(False)) & F.try_variant_get("doc", "$[2]", "variant").isNull()
     return (
         lines.filter(~F.col("line").rlike(r"^\s*$"))
         .withColumn("doc", doc)
@@ -197,21 +201,30 @@ def number_batches(
     A file may hold a third of all rows, so it is not ranked as one group. Byte offsets
     cut it into chunks of ``chunk_bytes`` (which bounds the rows of a chunk); lines are
     ranked inside their chunk and shifted by the line count of the chunks before it. Only
-    those counts, one row per chunk, are summed in file order.
+    those counts, one row per chunk, are summed in file order. Lines without an offset
+    cannot be numbered: the columns must be there, and a NULL offset fails the job.
     """
-    chunked = lines.withColumn("_chunk", F.floor(F.col("off") / F.lit(chunk_bytes)).cast("bigint"))
+    if not {"file", "off"} <= set(lines.columns):
+        raise ValueError("numbering batches needs the columns file and off")
+    no_offset = F.raise_error(F.lit("a line without an offset cannot be numbered")).cast("bigint")
+    chunk = F.when(F.col("off").isNull(), no_offset).otherwise(F.floor(F.col("off") / F.lit(chunk_bytes)))
+    chunked = lines.withColumn("_chunk", chunk.cast("bigint"))
     before = W.partitionBy("file").orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     starts = (
         chunked.groupBy("file", "_chunk")
         .count()
-        .select("file", "_chunk", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+        .select(
+            F.col("file").alias("_file"),
+            F.col("_chunk").alias("_of"),
+            F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"),
+        )
     )
     rank = F.row_number().over(W.partitionBy("file", "_chunk").orderBy("off")) - 1
     return (
         chunked.withColumn("_rank", rank)
-        .join(starts, ["file", "_chunk"])
+        .join(starts, F.col("file").eqNullSafe(F.col("_file")) & (F.col("_chunk") == F.col("_of")))
         .withColumn("batch_no", F.floor((F.col("_before") + F.col("_rank")) / size).cast("bigint"))
-        .drop("_chunk", "_before", "_rank")
+        .drop("_chunk", "_before", "_rank", "_file", "_of")
     )
 
 
@@ -219,15 +232,20 @@ def batch_gate(events: DataFrame, *batch_columns: str) -> DataFrame:
     """Add ``batch_ok``: false for every row of a batch that holds an invalid row.
 
     The bad batches are found by aggregation and joined back. No batch has to fit into
-    one task, whatever the caller chose as its batches.
+    one task, whatever the caller chose as its batches. Rows whose batch is NULL are one
+    batch like any other.
     """
+    keys = {c: f"_bad_{c}" for c in batch_columns}
     bad = (
         events.filter(F.col("reason").isNotNull())
-        .groupBy(*batch_columns)
-        .agg(F.lit(False).alias("batch_ok"))
+        .groupBy(*[F.col(c).alias(k) for c, k in keys.items()])
+        .agg(F.lit(False).alias("_ok"))
     )
-    return events.join(bad, list(batch_columns), "left").withColumn(
-        "batch_ok", F.coalesce("batch_ok", F.lit(True))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()))
+    return (
+        events.join(bad, same, "left")
+        .withColumn("batch_ok", F.coalesce("_ok", F.lit(True)))
+        .drop("_ok", *keys.values())
     )
 
 

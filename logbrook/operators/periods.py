@@ -24,7 +24,7 @@ def _day(text: str, what: str) -> dt.date:
     try:
         return dt.date.fromisoformat(text)
     except ValueError:
-        raise ValueError(f"Invalid {what} date") from None
+        raise ValueError(f"{what} is no calendar date: {text!r}") from None
 
 
 def custom_period(date_from: str | None, date_to: str | None, as_of: dt.datetime) -> Period:
@@ -33,12 +33,12 @@ def custom_period(date_from: str | None, date_to: str | None, as_of: dt.datetime
     Without an end day the period ends now. Raises ValueError for text that is no date,
     a start in the future, and a start that is not before the end.
     """
-    start = dt.datetime.combine(_day(date_from, "start"), dt.time()) if date_from else None
-    end = dt.datetime.combine(_day(date_to, "end"), END_OF_DAY) if date_to else as_of
+    start = dt.datetime.combine(_day(date_from, "first day"), dt.time()) if date_from else None
+    end = dt.datetime.combine(_day(date_to, "last day"), END_OF_DAY) if date_to else as_of
     if start and start > as_of:
-        raise ValueError("Start date cannot be in the future")
+        raise ValueError("the period would begin after now")
     if start and start >= end:
-        raise ValueError("Start date must be before end date")
+        raise ValueError("the period would end before it begins")
     return start, end
 
 

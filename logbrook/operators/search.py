@@ -15,7 +15,6 @@ from logbrook.functions import (
     contains_text,
     decode_cursor,
     encode_cursor,
-    severity_class,
 )
 
 # Parallel slices of a hot (service, day) group in per_day_newest, per level of ranking.
@@ -80,9 +79,8 @@ def severity_filter(severities: Iterable[str], fold_warning: bool = False) -> Co
     wanted = sorted({s.upper() for s in severities})
     if not wanted:
         return None
-    if fold_warning:
-        folded = sorted({"WARN" if s == "WARNING" else s for s in wanted})
-        return severity_class(F.col("severity")).isin(folded)
+    if fold_warning and {"WARN", "WARNING"} & set(wanted):
+        wanted = sorted({*wanted, "WARN", "WARNING"})
     return F.col("severity") == wanted[0] if len(wanted) == 1 else F.col("severity").isin(wanted)
 
 
@@ -208,8 +206,8 @@ def _starts_to_try(filters: dict) -> list[dt.datetime | None]:
     return [*(_utc(latest) - dt.timedelta(days=d) for d in RECENT_DAYS), None]
 
 
-def newest_per_group(rows: DataFrame, n: int, *keys: str) -> DataFrame:
-    """Newest ``n`` rows of every group, with their ``rank`` from 1.
+def newest_per_group(rows: DataFrame, n: int | Column, *keys: str) -> DataFrame:
+    """Newest ``n`` rows of every group, with their ``rank`` from 1. ``n`` may be a column.
 
     A group can hold most of the table, and every scan task may pass ``n`` of its rows on.
     So ranking has two levels: first inside slices of a group (a slice is a set of scan
@@ -235,5 +233,12 @@ def per_day_newest(logs: DataFrame, n: int) -> DataFrame:
 
 
 def dedup(logs: DataFrame) -> DataFrame:
-    """One row per ``log_uuid``. Copies of a hot id collapse before the shuffle."""
-    return logs.dropDuplicates(["log_uuid"])
+    """One row per ``log_uuid``.
+
+    Ids are counted first, by hash and without the rows. Only rows whose id is there twice or
+    more are compared, so the others are neither sorted nor shuffled when those ids are few.
+    """
+    twice = logs.groupBy("log_uuid").count().filter("count > 1").select(F.col("log_uuid").alias("_id"))
+    same = F.col("log_uuid").eqNullSafe(F.col("_id"))
+    copies = logs.join(twice, same, "left_semi").dropDuplicates(["log_uuid"])
+    return logs.join(twice, same, "left_anti").unionByName(copies)

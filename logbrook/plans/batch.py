@@ -317,7 +317,7 @@ def _rollup_merge(spark, sf_dir):
     with_rollup(
         """SELECT * FROM rollup WHERE service_name = 'api-gateway' AND hour_bucket BETWEEN
         TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-20 12:00:00'
-        ORDER BY hour_bucket DESC, service_name LIMIT 500"""
+        ORDER BY hour_bucket DESC, service_name"""
     ),
 )
 def _stats_range(spark, sf_dir):
@@ -330,7 +330,7 @@ def _stats_range(spark, sf_dir):
     with_rollup(
         """SELECT service_name, hour_bucket,
         error_count + warn_count + info_count + debug_count AS total FROM rollup
-        ORDER BY hour_bucket DESC, service_name LIMIT 500"""
+        ORDER BY hour_bucket DESC, service_name"""
     ),
 )
 def _stats_row_total(spark, sf_dir):
@@ -424,7 +424,8 @@ def _overall_totals(spark, sf_dir):
     ),
 )
 def _most_active(spark, sf_dir):
-    return analytics.most_active(registry_table(spark, sf_dir))
+    counts = view.log_view(spark, sf_dir).groupBy("service_name").agg(F.count("*").alias("total_events"))
+    return analytics.most_active(counts)
 
 
 _HOUR_TOTALS = "CAST(sum(error_count + warn_count + info_count + debug_count) AS BIGINT) AS total"
@@ -595,6 +596,7 @@ _DAMAGED = """lines AS (
     WHEN 1 THEN concat(good, ' trailing') WHEN 2 THEN concat('[', good, ']')
     WHEN 3 THEN concat(good, ',', good) WHEN 4 THEN 'not json'
     WHEN 5 THEN '{"service":"auth-service","severity":"INFO","message":"no time"}'
+    WHEN 6 THEN concat(good, ']') WHEN 7 THEN concat(good, '] {"x":1')
     ELSE good END AS line
   FROM (SELECT l.*, e.event_type, concat('{"timestamp":"', strftime(ts, '%Y-%m-%dT%H:%M:%S'),
     '","service":"', service_name, '","severity":"', severity, '","message":"', event_type, '"}')

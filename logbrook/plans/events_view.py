@@ -95,11 +95,13 @@ BROKEN = {
     3: "@,@",
     4: "not json",
     5: '{"service":"auth-service","severity":"INFO","message":"no time"}',
+    6: "@]",
+    7: '@] {"x":1',
 }
 
 
 def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short JSON lines of which five in eight are broken, each in its own way.
+    """Short JSON lines of which seven in eight are broken, each in its own way.
 
     Lines of one ``file`` (an event type) are placed at offsets of 100 bytes.
     """

@@ -6,11 +6,12 @@ Each run writes below a new folder of the cluster's shared storage (``work_dir``
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logbrook import schema as S
-from logbrook.operators import analytics, saved, search
+from logbrook.operators import analytics, ingest, saved, search
 from logbrook.plans import events_view as view
 from logbrook.plans.batch import (
     _DAMAGED,
@@ -40,8 +41,8 @@ def _streamed(spark: SparkSession, sf_dir: str, label: str) -> t.LogTables:
     """Tables after a stream of the events, as log lines, was stored."""
     base = work_dir(spark, label)
     tables = t.LogTables(f"{base}/tables")
-    # Lines that come from no file get their own id from their fields.
-    lines = view.lines_of(view.event_stream(spark, sf_dir)).select("line")
+    numbered = view.lines_of(view.event_stream(spark, sf_dir))
+    lines = numbered.select(F.lit("events").alias("file"), F.col("event_id").alias("off"), "line")
     jobs.ingest_stream(lines, tables, f"{base}/checkpoint", "run-1", once=True).awaitTermination()
     return tables
 
@@ -182,10 +183,70 @@ def _stored_rollup(spark, sf_dir):
     return t.read_rollup(spark, tables)
 
 
+@register("two_writers", with_logs('SELECT log_uuid, service_name, log_date, "timestamp" FROM logs'))
+def _two_writers(spark, sf_dir):
+    """Four batches are written at the same time, one of them twice."""
+    tables = t.LogTables(work_dir(spark, "two-writers"))
+    logs = view.log_view(spark, sf_dir)
+
+    def write(number: int) -> None:
+        t.write_logs(logs.filter(F.col("event_id") % 4 == number), tables.logs, f"writer-{number}/0")
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(4)))
+    write(2)
+    return t.read_logs(spark, tables.logs).select("log_uuid", "service_name", "log_date", "timestamp")
+
+
+@register(
+    "compact_while_writing", with_logs('SELECT log_uuid, service_name, log_date, "timestamp" FROM logs')
+)
+def _compact_while_writing(spark, sf_dir):
+    """Half of the rows arrive while two days are compacted; one day is compacted twice."""
+    tables = t.LogTables(work_dir(spark, "compact-writing"))
+    logs = view.log_view(spark, sf_dir)
+    first, late = (logs.filter(F.col("event_id") % 2 == n) for n in range(2))
+    t.write_logs(first, tables.logs, "first/0")
+    begun = [t.begin_compaction(spark, tables.logs, dt.date(2024, 1, day)) for day in (10, 11)]
+    t.write_logs(late, tables.logs, "late/0")
+    for generation in begun:
+        t.finish_compaction(spark, tables.logs, generation)
+    t.compact_day(spark, tables.logs, dt.date(2024, 1, 11))
+    t.begin_compaction(spark, tables.logs, dt.date(2024, 1, 12))  # never finished
+    return t.read_logs(spark, tables.logs).select("log_uuid", "service_name", "log_date", "timestamp")
+
+
+@register(
+    "pages_equal_lines",
+    with_logs(
+        """SELECT md5(concat('f', chr(1), CAST(event_id AS VARCHAR), chr(1), 'equal')) AS log_uuid,
+        CAST(log_date AS TIMESTAMP) AS "timestamp" FROM logs
+        WHERE service_name = 'auth-service' AND event_id % 3 = 0"""
+    ),
+)
+def _pages_equal_lines(spark, sf_dir):
+    """All pages of rows that differ in their offset only, a day's worth at one time."""
+    lines = view.log_view(spark, sf_dir).filter("event_id % 3 = 0").select(
+        F.lit("f").alias("file"), F.col("event_id").alias("off"), F.lit("equal").alias("line"),
+        F.col("service_name").alias("service"), "severity", F.lit("same").alias("message"), "host",
+        F.lit(None).cast("map<string,string>").alias("metadata"),
+        F.col("log_date").cast("timestamp_ntz").alias("timestamp"),
+    )
+    tables = t.LogTables(work_dir(spark, "pages-equal"))
+    t.write_logs(ingest.enrich(lines), tables.logs, "load/0")
+    logs = t.read_logs(spark, tables.logs)
+    page = search.search_page(logs, "auth-service", 500)
+    pages = page.results
+    while page.next_cursor:
+        page = search.search_page(logs, "auth-service", 500, page_token=page.next_cursor)
+        pages = pages.unionByName(page.results)
+    return pages.select("log_uuid", "timestamp")
+
+
 @register("compact_day", with_logs('SELECT log_uuid, service_name, log_date, "timestamp" FROM logs'))
 def _compact_day(spark, sf_dir):
     tables = _stored_logs(spark, sf_dir, "compact-day")
-    t.compact_day(spark, tables.logs, dt.date(2024, 1, 15), f"{tables.root}/staging")
+    t.compact_day(spark, tables.logs, dt.date(2024, 1, 15))
     logs = t.read_logs(spark, tables.logs)
     return logs.select("log_uuid", "service_name", "log_date", "timestamp")
 

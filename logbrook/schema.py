@@ -13,10 +13,8 @@ SERVICE_MAX_CHARS = 100
 MESSAGE_MAX_CHARS = 10_000
 HOST_MAX_CHARS = 255
 UNKNOWN_HOST = "unknown"
-KEYWORD_MAX_CHARS = 200
 SEARCH_DEFAULT_LIMIT = 50
 SEARCH_MAX_LIMIT = 500
-STATS_LIMIT = 500
 BATCH_ROWS = 100
 SPIKE_PERCENT = 15
 RED_PERCENT = 10

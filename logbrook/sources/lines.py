@@ -15,13 +15,13 @@ def _absolute(path: str) -> str:
 
 
 def read_lines(
-    spark: SparkSession, path: str, pattern: str = "*.log", offsets: bool = False
+    spark: SparkSession, path: str, pattern: str = "*.log", offsets: bool = True
 ) -> DataFrame:
     """All current lines of the files, as ``file, off, line``.
 
-    The default is Spark's text scan: no Python on the way, large files are split, and
-    ``off`` is NULL. With ``offsets`` the lines carry their byte offset, and so get the
-    same ids as lines that were followed by ``follow_lines``.
+    Lines carry their byte offset, and so get the same ids as lines that were followed by
+    ``follow_lines``; large files are split. Without ``offsets`` it is Spark's text scan with no
+    Python on the way and a NULL ``off``: enough to count or search lines, but not to store them.
     """
     if offsets:
         tail.register(spark)

@@ -5,13 +5,15 @@ All are plain Parquet folders below one root.
 =============  ==========================================  ==============================
 folder         layout                                      written by
 =============  ==========================================  ==============================
-``logs``       ``log_date= / service_name=``, newest first append per batch
+``logs``       ``ingest_id= / log_date= / service_name=``  overwrite of its own batch
+``logs-compactions``  ``generation=``, batches covered     after its rows are complete
 ``hourly``     ``run_id= / batch_id=``, additive counts    overwrite of its own batch
 ``rejects``    ``run_id= / batch_id=``                     overwrite of its own batch
 ``folds``      ``fold_id=``, hourly counts summed up       one folder per fold
+``fold_lists`` ``fold_id=``, what a fold will cover        before it is summed up
 ``folded``     ``fold_id=``, what a fold covers            after its fold is complete
 ``resolved``   ``replay_id=``, rejects that passed later   overwrite of its own replay
-``by_host``    ``log_date=``, sorted by host               append
+``by_host``    ``ingest_id= / log_date=``, by host         overwrite of its own batch
 ``saved_queries``  plain                                   append
 =============  ==========================================  ==============================
 """
@@ -19,8 +21,9 @@ folder         layout                                      written by
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
-from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -72,34 +75,40 @@ def _day(day: dt.date) -> Column:
 # --- raw logs -----------------------------------------------------------------------
 
 
+COMPACTED = "compacted-"
+
+
 def write_logs(
     logs: DataFrame,
     path: str,
-    ingest_id: str = "",
+    ingest_id: str | None = None,
     severity_index: bool = False,
     partitions: int | None = None,
 ) -> None:
-    """Append rows to the log table, newest first within each file.
+    """Store the rows of one batch in a folder of its own, newest first within each file.
 
-    Rebalancing brings the rows of a (day, service) together and, at run time, cuts a
-    group that is too large into several tasks and files. A plain repartition by the same
+    The folder is named by ``ingest_id`` (a new one if not given). Writing the same batch again
+    replaces it, and writers of different batches have nothing in common, not even a folder for
+    temporary files. Rebalancing brings the rows of a (day, service) together and, at run time,
+    cuts a group that is too large into several tasks and files. A plain repartition by the same
     columns would put a hot service's whole day into one task. ``partitions`` should be
     about the number of such groups (see ``layout_partitions``): with far fewer, every
     task would hold pieces of many groups and write many small files.
     """
-    rows = logs.select(
-        *[f.name for f in S.LOGS_SCHEMA if f.name != "ingest_id"], F.lit(ingest_id).alias("ingest_id")
-    )
     number = [] if partitions is None else [partitions]
+    rows = logs.select(*S.LOG_COLUMNS).hint("rebalance", *number, *S.LOGS_PARTITIONING)
+    _write_days(rows, f"{path}/ingest_id={_folder_name(ingest_id or uuid.uuid4().hex)}", severity_index)
+
+
+def _write_days(rows: DataFrame, folder: str, severity_index: bool) -> None:
     writer = (
-        rows.hint("rebalance", *number, *S.LOGS_PARTITIONING)
-        .sortWithinPartitions(*S.LOGS_PARTITIONING, *newest_first())
-        .write.mode("append")
+        rows.sortWithinPartitions(*S.LOGS_PARTITIONING, *newest_first())
+        .write.mode("overwrite")
         .partitionBy(*S.LOGS_PARTITIONING)
     )
     if severity_index:
         writer = writer.option("parquet.bloom.filter.enabled#severity", "true")
-    writer.parquet(path)
+    writer.parquet(folder)
 
 
 def layout_partitions(logs: DataFrame) -> int:
@@ -114,40 +123,22 @@ def layout_partitions(logs: DataFrame) -> int:
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    """The log table. Filters on ``log_date`` and ``service_name`` prune folders."""
-    stored = read_table(spark, path, S.LOGS_SCHEMA)
-    return _empty(spark, S.LOGS_SCHEMA) if stored is None else stored
-
+    """The log table. Filters on ``log_date`` and ``service_name`` prune folders.
 
-def not_yet_stored(logs: DataFrame, path: str, ingest_id: str) -> DataFrame:
-    """Rows of a repeated batch that its first, interrupted try did not write.
-
-    Only the days of the batch are looked at, and only the ids that carry its
-    ``ingest_id``; files of other batches are skipped by their statistics. Equal lines can
-    share an id, so ids are compared by how often they are there: of an id that was
-    written too few times the missing copies are added.
+    Where days were compacted, the batches that a finished compaction covers are left out, and so
+    are the rows of an unfinished one.
     """
-    spark = logs.sparkSession
     stored = read_table(spark, path, S.LOGS_SCHEMA)
     if stored is None:
-        return logs
-    span = logs.agg(F.min("log_date").alias("first"), F.max("log_date").alias("last")).first()
-    earlier = stored.filter(
-        F.col("log_date").between(F.lit(span["first"]), F.lit(span["last"]))
-        & (F.col("ingest_id") == ingest_id)
-    )
-    if earlier.isEmpty():
-        return logs
-    have = earlier.groupBy("log_uuid").agg(F.count("*").alias("_have"))
-    columns = logs.columns
-    absent = logs.join(have, "log_uuid", "left_anti").select(columns)
-    copies = logs.join(have, "log_uuid").groupBy("log_uuid", "_have").agg(
-        F.count("*").alias("_need"), F.first(F.struct(*columns)).alias("_row")
-    )
-    lacking = copies.filter(F.col("_need") > F.col("_have")).select(
-        "_row", F.explode(F.sequence(F.col("_have") + 1, F.col("_need")))
-    )
-    return absent.unionByName(lacking.select("_row.*").select(columns))
+        return _empty(spark, S.LOGS_SCHEMA)
+    names = S.LOGS_SCHEMA.fieldNames()
+    done = read_table(spark, _compactions(path), _COVERED)
+    if done is None:
+        return stored.filter(~F.col("ingest_id").startswith(COMPACTED)).select(names)
+    finished = done.select("generation").distinct()
+    rows = stored.join(finished, F.col("ingest_id") == F.col("generation"), "left")
+    rows = rows.filter(~F.col("ingest_id").startswith(COMPACTED) | F.col("generation").isNotNull())
+    return rows.join(done, ["ingest_id", "log_date"], "left_anti").select(names)
 
 
 # --- tables with one folder per batch -----------------------------------------------
@@ -157,15 +148,15 @@ def write_batch(rows: DataFrame, path: str, run_id: str, batch_id: int) -> None:
     """Write the rows of one batch. Writing the same batch again replaces them.
 
     Batch ids are unique within a checkpoint only, so a job with a new checkpoint needs a
-    new ``run_id``.
+    new ``run_id``. The folder of the batch is named, not found from its rows: a batch
+    that has none any more replaces what an earlier try wrote, too.
     """
-    (
-        rows.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id", "batch_id")
-        .parquet(path)
-    )
+    rows.write.mode("overwrite").parquet(f"{path}/run_id={_folder_name(run_id)}/batch_id={batch_id}")
+
+
+def _folder_name(value: str) -> str:
+    """A partition value as Spark reads it back from a folder name."""
+    return quote(value, safe=" !$&'()+,-.;<>@_`|~") or "__HIVE_DEFAULT_PARTITION__"
 
 
 def write_rollup(logs: DataFrame, path: str, run_id: str, batch_id: int) -> None:
@@ -173,24 +164,27 @@ def write_rollup(logs: DataFrame, path: str, run_id: str, batch_id: int) -> None
     write_batch(rollup.hourly_partials(logs), path, run_id, batch_id)
 
 
-def _last_fold(spark: SparkSession, tables: LogTables) -> tuple[int, dict[str, int]]:
+def _last_fold(spark: SparkSession, tables: LogTables) -> tuple[int, DataFrame]:
     """Newest complete fold and, for each run, the last batch in it (one row per run)."""
-    folded = read_table(spark, tables.path("folded"), T.StructType([*_BATCH_KEY, *_FOLD_KEY]))
+    schema = T.StructType([*_BATCH_KEY, *_FOLD_KEY])
+    folded = read_table(spark, tables.path("folded"), schema)
     newest = None if folded is None else folded.agg(F.max("fold_id")).first()[0]
     if newest is None:
-        return 0, {}
-    rows = folded.filter(F.col("fold_id") == newest).collect()
-    return newest, {r["run_id"]: r["batch_id"] for r in rows}
+        return 0, _empty(spark, T.StructType(_BATCH_KEY))
+    return newest, folded.filter(F.col("fold_id") == newest).select("run_id", "batch_id")
+
 
+def _upto(batches: DataFrame, last: DataFrame, how: str) -> DataFrame:
+    """Rows of batches up to the last one of their run, or (``left_anti``) of all others.
 
-def _covered(batches: dict[str, int]) -> Column:
-    """Batches up to the given one of each run: a filter on folders."""
-    parts = [(F.col("run_id") == r) & (F.col("batch_id") <= b) for r, b in batches.items()]
-    return reduce(lambda a, b: a | b, parts, F.lit(False))
+    A join, so that the plan stays as small with thousands of runs as with one.
+    """
+    bound = last.select(F.col("run_id").alias("_run"), F.col("batch_id").alias("_last"))
+    return batches.join(bound, (F.col("run_id") == F.col("_run")) & (F.col("batch_id") <= F.col("_last")), how)
 
 
 def _partials(
-    spark: SparkSession, tables: LogTables, upto: dict[str, int] | None = None
+    spark: SparkSession, tables: LogTables, upto: DataFrame | None = None
 ) -> DataFrame | None:
     """The newest fold and the batches it does not cover, optionally only up to some batch."""
     names = S.HOURLY_SCHEMA.fieldNames()
@@ -201,7 +195,9 @@ def _partials(
         if not fold_id:
             return None
         batches = _empty(spark, schema)
-    rest = batches.filter(~_covered(covered) & (F.lit(True) if upto is None else _covered(upto)))
+    rest = _upto(batches, covered, "left_anti")
+    if upto is not None:
+        rest = _upto(rest, upto, "left_semi")
     if not fold_id:
         return rest.select(names)
     base = read_table(spark, tables.path("folds"), T.StructType([*S.HOURLY_SCHEMA, *_FOLD_KEY]))
@@ -236,18 +232,18 @@ def fold_rollup(spark: SparkSession, tables: LogTables) -> int | None:
     if batches is None:
         return None
     # Fixed before the partials are read: a batch that arrives later is not covered.
-    seen = batches.groupBy("run_id").agg(F.max("batch_id").alias("batch_id")).collect()
     last_id, covered = _last_fold(spark, tables)
-    upto = dict(covered)
-    for row in seen:
-        upto[row["run_id"]] = max(row["batch_id"], upto.get(row["run_id"], -1))
-    if upto == covered:
-        return last_id or None
+    known = batches.select("run_id", "batch_id").unionByName(covered)
+    found = known.groupBy("run_id").agg(F.max("batch_id").alias("batch_id"))
     fold_id = last_id + 1
+    listed = f"{tables.path('fold_lists')}/fold_id={fold_id}"
+    found.write.mode("overwrite").parquet(listed)
+    upto = spark.read.schema(T.StructType(_BATCH_KEY)).parquet(listed)
+    if _upto(upto, covered, "left_anti").isEmpty():
+        return last_id or None
     summed = rollup.fold_partials(_partials(spark, tables, upto)).repartitionByRange("hour_bucket")
     summed.write.mode("overwrite").parquet(f"{tables.path('folds')}/fold_id={fold_id}")
-    rows = spark.createDataFrame(list(upto.items()), "run_id string, batch_id bigint")
-    rows.coalesce(1).write.mode("overwrite").parquet(f"{tables.path('folded')}/fold_id={fold_id}")
+    upto.coalesce(1).write.mode("overwrite").parquet(f"{tables.path('folded')}/fold_id={fold_id}")
     return fold_id
 
 
@@ -259,7 +255,9 @@ def write_rejects(rejects: DataFrame, path: str, run_id: str, batch_id: int) ->
 
 
 def _reject_id() -> Column:
-    return F.md5(F.concat_ws("\u0001", "file", F.col("off").cast("string"), "line"))
+    """One arrival of a line: the same broken line in a later batch is a reject of its own."""
+    parts = ("run_id", "batch_id", "file", "off", "line")
+    return F.md5(F.concat_ws("\u0001", *(F.coalesce(F.col(p).cast("string"), F.lit("\u0000")) for p in parts)))
 
 
 def read_rejects(
@@ -302,49 +300,71 @@ def read_saved_queries(spark: SparkSession, tables: LogTables) -> DataFrame:
 # --- other layouts ------------------------------------------------------------------
 
 
-def compact_day(
-    spark: SparkSession, path: str, day: dt.date, staging: str, partitions: int | None = None
+_COVERED = T.StructType(
+    [
+        T.StructField("ingest_id", T.StringType()),
+        T.StructField("log_date", T.DateType()),
+        T.StructField("generation", T.StringType()),
+    ]
+)
+
+
+def _compactions(path: str) -> str:
+    return f"{path.rstrip('/')}-compactions"
+
+
+def begin_compaction(spark: SparkSession, path: str, day: dt.date) -> str:
+    """Fix the batches that a compaction of one day will cover; returns its generation."""
+    generation = f"{COMPACTED}{day}-{uuid.uuid4().hex[:12]}"
+    covered = read_logs(spark, path).filter(_day(day)).select("ingest_id", "log_date").distinct()
+    covered.coalesce(1).write.parquet(f"{_compactions(path)}-begun/generation={generation}")
+    return generation
+
+
+def finish_compaction(
+    spark: SparkSession,
+    path: str,
+    generation: str,
+    partitions: int | None = None,
+    severity_index: bool = False,
 ) -> int:
-    """Rewrite one day of the log table into few, time-ordered files; returns its rows.
+    """Write the covered rows into few, time-ordered files and switch to them; returns their number.
 
-    The day is first written to ``staging`` and checked there, then swapped in from there:
-    no job reads the files it replaces, and an interrupted swap is repaired by
-    ``swap_day``. Range partitioning splits a hot service by time, which also gives files
-    narrow time ranges to skip by. ``partitions`` sets the number of ranges; the session's
-    shuffle partitions otherwise. Run it for a day that no job is writing.
+    Readers switch when the list of covered batches is written, which is the last step. Nothing is
+    deleted: batches that arrive meanwhile, of whatever day, are not on the list and stay readable,
+    and an interrupted compaction leaves the table as it was. Range partitioning splits a hot
+    service by time, which also gives files narrow time ranges to skip by. ``partitions`` sets
+    the number of ranges; the session's shuffle partitions otherwise.
     """
-    rows = read_logs(spark, path).filter(_day(day))
-    before = rows.count()
+    begun = f"{_compactions(path)}-begun/generation={generation}"
+    covered = spark.read.schema(T.StructType(_COVERED.fields[:2])).parquet(begun)
+    days = covered.agg(F.min("log_date").alias("first"), F.max("log_date").alias("last")).first()
+    if days["first"] is None:
+        return 0
+    rows = read_logs(spark, path).filter(F.col("log_date").between(F.lit(days["first"]), F.lit(days["last"])))
+    rows = rows.join(covered, ["ingest_id", "log_date"], "left_semi").select(*S.LOG_COLUMNS)
     number = [] if partitions is None else [partitions]
-    (
-        rows.repartitionByRange(*number, "service_name", F.desc("timestamp"))
-        .sortWithinPartitions("service_name", *newest_first())
-        .write.mode("overwrite")
-        .partitionBy(*S.LOGS_PARTITIONING)
-        .parquet(staging)
-    )
-    if read_logs(spark, staging).count() != before:
-        raise RuntimeError(f"staged copy of {day} is incomplete; the table was not touched")
-    if read_logs(spark, path).filter(_day(day)).count() != before:
-        raise RuntimeError(f"{day} was written to during compaction; the table was not touched")
-    swap_day(spark, path, staging)
-    return before
+    sorted_rows = rows.repartitionByRange(*number, "log_date", "service_name", F.desc("timestamp"))
+    folder = f"{path}/ingest_id={generation}"
+    _write_days(sorted_rows, folder, severity_index)
+    count = rows.count()
+    schema = T.StructType([f for f in S.LOGS_SCHEMA if f.name != "ingest_id"])
+    copied = read_table(spark, folder, schema)
+    if (0 if copied is None else copied.count()) != count:
+        raise RuntimeError(f"the copy {generation} is incomplete; the table was not touched")
+    covered.coalesce(1).write.mode("overwrite").parquet(f"{_compactions(path)}/generation={generation}")
+    return count
 
 
-def swap_day(spark: SparkSession, path: str, staging: str) -> None:
-    """Replace the staged (day, service) folders of the table by the staged rows."""
-    staged = read_table(spark, staging, S.LOGS_SCHEMA)
-    (
-        staged.sortWithinPartitions(*S.LOGS_PARTITIONING, *newest_first())
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*S.LOGS_PARTITIONING)
-        .parquet(path)
-    )
+def compact_day(spark: SparkSession, path: str, day: dt.date, **options) -> int:
+    """Rewrite one day of the log table; returns its rows. Others may write the day meanwhile."""
+    return finish_compaction(spark, path, begin_compaction(spark, path, day), **options)
 
 
-def write_logs_by_host(logs: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Second layout for searches by host over all services.
+def write_logs_by_host(
+    logs: DataFrame, path: str, ingest_id: str | None = None, partitions: int | None = None
+) -> None:
+    """Second layout for searches by host over all services; a batch replaces itself only.
 
     Rows are range-partitioned by day, host and time: a host's rows lie in few files, and
     a hot host is split by time. Rows without a key column are left out.
@@ -357,16 +377,15 @@ def write_logs_by_host(logs: DataFrame, path: str, partitions: int | None = None
         .select(*S.LOG_COLUMNS)
         .repartitionByRange(*number, "log_date", "host", F.desc("timestamp"))
         .sortWithinPartitions(*order)
-        .write.mode("append")
+        .write.mode("overwrite")
         .partitionBy("log_date")
-        .parquet(path)
+        .parquet(f"{path}/ingest_id={_folder_name(ingest_id or uuid.uuid4().hex)}")
     )
 
 
 def read_logs_by_host(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType([f for f in S.LOGS_SCHEMA if f.name != "ingest_id"])
-    stored = read_table(spark, path, schema)
-    return _empty(spark, schema) if stored is None else stored
+    stored = read_table(spark, path, S.LOGS_SCHEMA)
+    return (_empty(spark, S.LOGS_SCHEMA) if stored is None else stored).drop("ingest_id")
 
 
 def export_csv(logs: DataFrame, path: str) -> None:

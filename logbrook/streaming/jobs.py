@@ -14,7 +14,7 @@ from logbrook.operators import ingest, search
 from logbrook.session import read_table
 from logbrook.sources.lines import follow_lines
 from logbrook.sources.tables import LogTables
-from logbrook.streaming.sink import BatchSink
+from logbrook.streaming.sink import BatchSink, need_offsets
 
 FLUSH_INTERVAL = "5 seconds"
 
@@ -31,22 +31,23 @@ def ingest_stream(
     once: bool = False,
     interval: str = FLUSH_INTERVAL,
     as_of: dt.datetime | None = None,
+    by_host: bool = False,
 ) -> StreamingQuery:
-    """Start storing a stream of lines into the tables.
+    """Start storing a stream of lines (``file, off, line``) into the tables.
 
     ``once`` takes what is there and ends; otherwise a batch is flushed every
     ``interval``. Events of any age are accepted: they add to the counts of their hour.
     A new checkpoint needs a new ``run_id``. The progress of the query reports how many
     rows were accepted and rejected, as the observed metrics ``ingest``.
     """
-    events = ingest.ingest_lines(lines, as_of).observe(
+    events = ingest.ingest_lines(need_offsets(lines), as_of).observe(
         "ingest",
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("reason").isNull()).alias("accepted"),
         F.count("reason").alias("rejected"),
     )
     return (
-        events.writeStream.foreachBatch(BatchSink(tables, run_id))
+        events.writeStream.foreachBatch(BatchSink(tables, run_id, by_host))
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(once, interval))
         .start()

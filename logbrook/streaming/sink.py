@@ -28,47 +28,49 @@ def _kept(events: DataFrame, staging: str | None) -> Iterator[DataFrame]:
         held.unpersist()
 
 
+def need_offsets(lines: DataFrame) -> DataFrame:
+    """Refuse lines that cannot be told apart: ids of stored rows come from file and offset."""
+    if not {"file", "off"} <= set(lines.columns):
+        raise ValueError("stored lines need the columns file and off")
+    return lines
+
+
 def store_batch(
     events: DataFrame,
     tables: t.LogTables,
     run_id: str,
     batch_id: int,
-    repeated: bool = False,
     staging: str | None = None,
+    by_host: bool = False,
 ) -> None:
     """Write a batch of ``ingest_lines`` rows: logs, hourly partials, and rejects.
 
-    The checked batch is kept for the three writes, so its lines are parsed once. A
+    The checked batch is kept for the writes, so its lines are parsed once. A
     micro-batch is kept in the executors; a lost executor's share is recomputed from the
     source's byte ranges. A bulk load names a ``staging`` folder instead.
 
-    Partials and rejects replace what an earlier try of the same batch wrote. Log rows are
-    appended; for a batch that may be a repetition (``repeated``), the rows already there
-    are left out.
+    Every table has a folder for the batch, and a batch written again replaces it; so a
+    repeated or interrupted batch counts once, and other writers are never touched.
+    ``by_host`` also keeps the layout for searches by host.
     """
     with _kept(events, staging) as checked:
         logs = ingest.accepted(checked)
         ingest_id = f"{run_id}/{batch_id}"
-        fresh = t.not_yet_stored(logs, tables.logs, ingest_id) if repeated else logs
-        t.write_logs(fresh, tables.logs, ingest_id, partitions=t.layout_partitions(logs))
+        t.write_logs(logs, tables.logs, ingest_id, partitions=t.layout_partitions(logs))
+        if by_host:
+            t.write_logs_by_host(logs, tables.by_host, ingest_id)
         t.write_rollup(logs, tables.hourly, run_id, batch_id)
         t.write_rejects(ingest.rejected(checked), tables.rejects, run_id, batch_id)
 
 
 class BatchSink:
-    """``foreachBatch`` function of one run of a stream of ``ingest_lines`` rows.
-
-    After a restart Spark repeats at most the batch it was in. So only the first batch of
-    a run is compared with what is stored.
-    """
+    """``foreachBatch`` function of one run of a stream of ``ingest_lines`` rows."""
 
-    def __init__(self, tables: t.LogTables, run_id: str):
-        self.tables, self.run_id = tables, run_id
-        self.first = True
+    def __init__(self, tables: t.LogTables, run_id: str, by_host: bool = False):
+        self.tables, self.run_id, self.by_host = tables, run_id, by_host
 
     def __call__(self, events: DataFrame, batch_id: int) -> None:
-        store_batch(events, self.tables, self.run_id, batch_id, repeated=self.first)
-        self.first = False
+        store_batch(events, self.tables, self.run_id, batch_id, by_host=self.by_host)
 
 
 def load_lines(
@@ -77,17 +79,18 @@ def load_lines(
     run_id: str,
     as_of: dt.datetime | None = None,
     staging: str | None = None,
+    by_host: bool = False,
 ) -> None:
-    """Store a batch DataFrame of lines.
+    """Store a batch DataFrame of lines (``file, off, line``).
 
     The same lines under the same ``run_id`` are stored once, so an interrupted load is
     completed by running it again; other lines need another ``run_id``. The checked rows
     are held in a written table, by default below the cluster's checkpoint folder, because
     a load can be larger than the executors' disks. It can be removed afterwards.
     """
-    events = ingest.ingest_lines(lines, as_of)
+    events = ingest.ingest_lines(need_offsets(lines), as_of)
     staging = staging or work_dir(lines.sparkSession, "load")
-    store_batch(events, tables, run_id, 0, repeated=True, staging=staging)
+    store_batch(events, tables, run_id, 0, staging=staging, by_host=by_host)
 
 
 def replay_rejects(
@@ -110,7 +113,6 @@ def replay_rejects(
     with _kept(events.filter(F.col("reason").isNull()), None) as passed:
         logs = ingest.accepted(passed)
         run_id = f"replay-{replay_id}"
-        fresh = t.not_yet_stored(logs, tables.logs, f"{run_id}/0")
-        t.write_logs(fresh, tables.logs, f"{run_id}/0", partitions=t.layout_partitions(logs))
+        t.write_logs(logs, tables.logs, f"{run_id}/0", partitions=t.layout_partitions(logs))
         t.write_rollup(logs, tables.hourly, run_id, 0)
         t.mark_resolved(passed, tables, replay_id)

@@ -68,7 +68,7 @@ def test_clean_keyword():
     assert fn.clean_keyword("  Fail  ") == "Fail"
     assert fn.clean_keyword("   ") is None
     assert fn.clean_keyword(None) is None
-    assert len(fn.clean_keyword("x" * 300)) == 200
+    assert fn.clean_keyword("x" * 300) == "x" * 300
 
 
 def test_percent_rounds_half_up_and_guards_zero(spark):
@@ -116,10 +116,10 @@ def test_custom_period():
 @pytest.mark.parametrize(
     "first, last, message",
     [
-        ("x", None, "Invalid start date"),
-        ("2026-03-16", "x", "Invalid end date"),
-        ("2026-03-18", None, "future"),
-        ("2026-03-16", "2026-03-15", "before end"),
+        ("x", None, "first day is no calendar date"),
+        ("2026-03-16", "x", "last day is no calendar date"),
+        ("2026-03-18", None, "after now"),
+        ("2026-03-16", "2026-03-15", "before it begins"),
     ],
 )
 def test_custom_period_errors(first, last, message):

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -173,7 +174,7 @@ def test_saved_queries(spark, logs):
     rows = [
         (1, "errors", '{"service":"auth","severity":"error","limit":3}', "cli", T0),
         (2, "word", '{"service":"auth","q":" EVENT 1 "}', "cli", T0),
-        (3, "range", '{"service":"auth","start":"2026-03-18T00:00:00","limit":9999}', "cli", T0),
+        (3, "range", '{"service":"auth","start":"2026-03-18T00:00:00","limit":500}', "cli", T0),
         (4, "no service", '{"q":"event"}', "cli", T0),
         (5, "nothing", '{"service":"nobody"}', "cli", T0),
         (6, "broken", "not json", "cli", T0),
@@ -189,13 +190,29 @@ def test_saved_queries(spark, logs):
     }
 
 
-def test_saved_queries_beyond_the_broadcast_bound(spark, logs, monkeypatch):
-    rows = [(i, f"q{i}", '{"service":"auth","limit":2}', "cli", T0) for i in range(5)]
+def test_saved_queries_that_cannot_be_run_are_named(spark, logs):
+    texts = {
+        "fine": '{"service":"auth","limit":2}',
+        "not_json": "service=auth",
+        "no_service": '{"q":"x"}',
+        "bad_severity": '{"service":"auth","severity":"loud"}',
+        "bad_start": '{"service":"auth","start":"yesterday"}',
+        "bad_end": '{"service":"auth","end":"soon"}',
+        "bad_limit": '{"service":"auth","limit":501}',
+    }
+    rows = [(i, name, text, "cli", T0) for i, (name, text) in enumerate(texts.items())]
     stored = spark.createDataFrame(rows, S.SAVED_QUERIES_SCHEMA)
-    small = saved.run_saved_queries(logs, stored).select("query_id", "log_uuid").collect()
-    monkeypatch.setattr(saved, "MAX_BROADCAST_QUERIES", 2)
-    large = saved.run_saved_queries(logs, stored).select("query_id", "log_uuid").collect()
-    assert sorted(small) == sorted(large) and len(small) == 10
+    rejected = saved.rejected_saved(stored).collect()
+    assert {(r["query_name"], r["reason"]) for r in rejected} == {(n, n) for n in texts if n != "fine"}
+    found = saved.run_saved_queries(logs, stored).collect()
+    assert [r["query_name"] for r in found] == ["fine", "fine"]
+
+
+def test_a_long_keyword_is_not_shortened(spark, logs):
+    long = "event 1" + "x" * 300
+    assert search.matching(logs, q=long).isEmpty()
+    stored = spark.createDataFrame([(1, "q", json.dumps({"service": "auth", "q": long}), "cli", T0)], S.SAVED_QUERIES_SCHEMA)
+    assert saved.run_saved_queries(logs, stored).isEmpty()
 
 
 def plan_of(df):

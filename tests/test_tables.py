@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from logbrook.operators import rollup
 from logbrook.plans.events_view import log_view
+from logbrook.session import read_table
 from logbrook.sources import tables as t
 from logbrook.streaming import sink
 
@@ -68,7 +69,7 @@ def test_interrupted_batch_is_completed(spark, tables):
     events = ingest.ingest_lines(lines)
     # A first try that wrote only some of the log rows and nothing else.
     t.write_logs(ingest.accepted(events).filter("severity = 'ERROR'"), tables.logs, "r/5")
-    sink.store_batch(events, tables, "r", 5, repeated=True)
+    sink.store_batch(events, tables, "r", 5)
     assert t.read_logs(spark, tables.logs).count() == 40
     assert rows_of(t.read_rollup(spark, tables)) == rows_of(
         rollup.hourly_rollup(ingest.accepted(events))
@@ -78,8 +79,7 @@ def test_interrupted_batch_is_completed(spark, tables):
 def test_interrupted_load_of_equal_lines_is_completed(spark, tables):
     from logbrook.operators import ingest
 
-    # No offsets, so equal lines share an id; the first try wrote one copy of three.
-    lines = spark.createDataFrame([("f", wire(i)) for i in (0, 1, 1, 1, 2)], "file string, line string")
+    lines = lines_df(spark, [wire(i) for i in (0, 1, 1, 1, 2)])
     events = ingest.ingest_lines(lines)
     first = ingest.accepted(events).filter("message = 'm1'").limit(1)
     t.write_logs(first, tables.logs, "r/0")
@@ -155,21 +155,73 @@ def files_below(path):
     return glob.glob(os.path.join(path, "**", "*.parquet"), recursive=True)
 
 
-def test_compaction_keeps_rows_and_leaves_fewer_files(spark, tables, tmp_path):
+def ingest_of(spark, lines):
+    from logbrook.operators import ingest
+
+    return ingest.ingest_lines(lines_df(spark, lines))
+
+
+def test_compaction_keeps_rows_and_covers_the_batches(spark, tables):
     for batch in range(6):
         lines = lines_df(spark, [wire(100 * batch + i) for i in range(60)])
         sink.load_lines(lines, tables, f"r{batch}")
+    day, other = dt.date(2026, 3, 17), dt.date(2026, 3, 18)
+    logs = t.read_logs(spark, tables.logs).drop("ingest_id")
+    before = rows_of(logs)
+    assert t.compact_day(spark, tables.logs, day) == 180
+    after = t.read_logs(spark, tables.logs)
+    assert rows_of(after.drop("ingest_id")) == before
+    used = {(r["log_date"], r["ingest_id"]) for r in after.select("log_date", "ingest_id").distinct().collect()}
+    assert sum(d == day for d, _ in used) == 1 and sum(d == other for d, _ in used) == 6
+    assert t.compact_day(spark, tables.logs, dt.date(2026, 3, 19)) == 0  # a day without rows
+
+
+def test_rows_that_arrive_during_a_compaction_stay(spark, tables):
     day = dt.date(2026, 3, 17)
-    folder = f"{tables.logs}/log_date={day}"
-    before, files = rows_of(t.read_logs(spark, tables.logs)), len(files_below(folder))
-    other = files_below(f"{tables.logs}/log_date=2026-03-18")
-    staging = str(tmp_path / "staging")
-    assert t.compact_day(spark, tables.logs, day, staging) == 180
-    assert rows_of(t.read_logs(spark, tables.logs)) == before
-    assert len(files_below(folder)) < files
-    assert files_below(f"{tables.logs}/log_date=2026-03-18") == other
-    t.swap_day(spark, tables.logs, staging)  # repeating the swap is harmless
-    assert rows_of(t.read_logs(spark, tables.logs)) == before
+    sink.load_lines(lines_df(spark, [wire(i) for i in range(60)]), tables, "r0")
+    generation = t.begin_compaction(spark, tables.logs, day)
+    sink.load_lines(lines_df(spark, [wire(100 + i) for i in range(10)]), tables, "r1")
+    assert t.read_logs(spark, tables.logs).count() == 70
+    assert t.finish_compaction(spark, tables.logs, generation) == 30
+    assert t.read_logs(spark, tables.logs).count() == 70
+    assert rows_of(t.read_rollup(spark, tables)) == rows_of(rollup.hourly_rollup(t.read_logs(spark, tables.logs)))
+
+
+def test_unfinished_compaction_is_not_read(spark, tables, monkeypatch):
+    sink.load_lines(lines_df(spark, [wire(i) for i in range(20)]), tables, "r0")
+    with monkeypatch.context() as m:
+        m.setattr(t, "read_table", lambda *a: None if "compacted-" in a[1] else read_table(*a))
+        with pytest.raises(RuntimeError, match="incomplete"):
+            t.compact_day(spark, tables.logs, dt.date(2026, 3, 17))
+    assert t.read_logs(spark, tables.logs).count() == 20
+
+
+def test_retry_without_rows_replaces_the_first_try(spark, tables):
+    events = ingest_of(spark, ["junk", wire(1)])
+    sink.store_batch(events, tables, "r:1", 0)
+    assert (t.read_logs(spark, tables.logs).count(), t.read_rejects(spark, tables).count()) == (1, 1)
+    sink.store_batch(events.limit(0), tables, "r:1", 0)
+    assert (t.read_logs(spark, tables.logs).count(), t.read_rejects(spark, tables).count()) == (0, 0)
+    assert t.read_rollup(spark, tables).count() == 0
+
+
+def test_equal_rejects_of_a_later_load_are_pending(spark, tables):
+    sink.load_lines(lines_df(spark, ["junk", wire(1) + " trailing"]), tables, "a")
+
+    def cut(rejects):
+        return rejects.withColumn("line", F.regexp_replace("line", " trailing$", ""))
+
+    sink.replay_rejects(spark, tables, "first", cut)
+    assert t.read_rejects(spark, tables).count() == 1
+    sink.load_lines(lines_df(spark, ["junk", wire(1) + " trailing"]), tables, "b")
+    assert t.read_rejects(spark, tables).count() == 3
+    sink.replay_rejects(spark, tables, "second", cut)
+    assert (t.read_rejects(spark, tables).count(), t.read_logs(spark, tables.logs).count()) == (2, 2)
+
+
+def test_lines_without_offsets_are_not_stored(spark, tables):
+    with pytest.raises(ValueError, match="file and off"):
+        sink.load_lines(spark.createDataFrame([(wire(1),)], "line string"), tables, "r")
 
 
 def test_hot_service_is_split_over_files(spark, tables):

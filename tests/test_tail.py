@@ -173,7 +173,7 @@ def test_batch_read(spark, tmp_path):
     rows = read_lines(spark, str(tmp_path), offsets=True)
     assert rows.rdd.getNumPartitions() == 1  # below the least split
     assert sorted(tuple(r) for r in rows.collect()) == sorted(exact)
-    plain = read_lines(spark, str(tmp_path))
+    plain = read_lines(spark, str(tmp_path), offsets=False)
     assert plain.columns == ["file", "off", "line"]
     assert sorted(r["line"] for r in plain.collect()) == sorted(e[2] for e in exact)
 
