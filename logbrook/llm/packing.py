@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -43,13 +45,14 @@ class WordEncoder:
     text are those of its words in a row. Two generations of cached words bound the memory.
     """
 
-    def __init__(self, tokenizer: str, cached: int = 150_000):
+    def __init__(self, tokenizer: str, cached: int = 350_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(tokenizer if os.path.isabs(tokenizer) else public_tokenizers.path(tokenizer))
         self.cached, self.young, self.old = cached, {}, {}
+        self.signs = {ord(c): array("I", self.model.encode(c, add_special_tokens=False).ids).tobytes() for c in ",."}
 
     def encode(self, text: bytes) -> bytes:
         return b"".join(self._words(part) for part in chunks(text))
@@ -59,22 +62,60 @@ class WordEncoder:
             text = text.lower()
         words = text.split()
         young, old = self.young, self.old
-        missing = []
+        missing, ended = [], []
         for word in set(words).difference(young):
-            ids = old.get(word)
-            if ids is None:
+            if word in old:
+                young[word] = old[word]
+            elif word[-1] in b",." and (base := word[:-1]) and base.decode().isalpha():
+                ended.append(word)  # letters, then one sign: two tokens of the splitting rule
+                if base in old:
+                    young[base] = old[base]
+                elif base not in young:
+                    young[base] = b""
+                    missing.append(base)
+            elif not young.get(word):
+                young[word] = b""
                 missing.append(word)
+        others = []
+        for word in missing:
+            if plain(word):
+                found = self.model.model.tokenize(word.decode("latin-1").translate(_BYTE_LEVEL))
+                young[word] = array("I", [token.id for token in found]).tobytes()
             else:
-                young[word] = ids
-        if missing:
-            for word, got in zip(missing, self.model.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)):
-                young[word] = b"".join(i.to_bytes(_ID_BYTES, "little") for i in got.ids)
+                others.append(word)
+        if others:
+            for word, got in zip(others, self.model.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)):
+                young[word] = array("I", got.ids).tobytes()
+        for word in ended:
+            young[word] = young[word[:-1]] + self.signs[word[-1]]
         ids = b"".join(map(young.__getitem__, words))
         if len(young) > self.cached:
             self.young, self.old = {}, {w: i for w, i in young.items() if len(w) <= 64}
         return ids
 
 
+def plain(word: bytes) -> bool:
+    """Whether a word is nothing but lower-case Latin letters, which the tokenizer neither changes nor splits."""
+    letters = word.decode()
+    return letters.isalpha() and letters.lower() == letters and max(letters) < "\u0250"
+
+
+def _byte_level() -> dict[int, int]:
+    """The byte-level alphabet: visible Latin-1 bytes stand for themselves, the others follow from 256 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: 256 + number for number, b in enumerate(hidden)}
+
+
+_BYTE_LEVEL = _byte_level()
+
+
+@lru_cache(maxsize=1)
+def encoder_of(tokenizer: str) -> WordEncoder:
+    """The encoder of a Python worker; tasks that share the worker share its cache."""
+    return WordEncoder(tokenizer)
+
+
 def chunks(text: bytes, size: int = _CHUNK) -> Iterator[bytes]:
     """A long text in parts that end at ASCII white space."""
     begin = 0
@@ -192,7 +233,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, tiers: tuple[int
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = WordEncoder(tokenizer), end_id.to_bytes(_ID_BYTES, "little")
+        encoder, end = encoder_of(tokenizer), end_id.to_bytes(_ID_BYTES, "little")
         packer = Packer(TaskContext.get().partitionId() << 32, tiers)
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), utf8(batch.column("text"))):
