@@ -27,7 +27,7 @@ MIN_ERRORS = 4.0
 HEADS = (4, 5, 6)
 GRADES = 3
 KEEP_FROM = 2
-KEEP_TAIL = 0.7
+KEEP_TAIL = 0.5
 SEED = 7
 
 _WHITE = b" \t\n\x0b\x0c\r"
