@@ -22,21 +22,30 @@ def _field(name: str) -> Column:
     return F.try_variant_get("doc", f"$[0].{name}", "variant")
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
+def _strict(text: str) -> tuple[Column, Column]:
+    """A parsed JSON text as ``$[0]`` of an array, and whether it was exactly one value.
+
+    The second element is the text's own hash. The parser stops at the first closing bracket,
+    so anything behind the value is noticed because the hash is not found there.
+    """
+    mark = F.xxhash64(text).cast("string")
+    doc = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
+    second = F.try_variant_get("doc", "$[1]", "string")
+    one = F.coalesce(second == mark, F.lit(False)) & F.try_variant_get("doc", "$[2]", "variant").isNull()
+    return doc, one
+
+
+def parse_lines(lines: DataFrame, required: tuple[str, ...] = S.REQUIRED_KEYS) -> DataFrame:
     """Add ``doc`` (the parsed line) and ``reason`` to rows that have a ``line``.
 
-    The line is parsed once, as the first element of a JSON array whose second element is
-    the line's own hash. The parser stops at the first closing bracket, so text after the
-    object is noticed because the hash is not found behind it. A required key that is
-    present with a null value counts as present here; ``validate`` judges values.
+    The line is parsed once; text behind the object, or a second object, makes it invalid. A
+    required key that is present with a null value counts as present here; ``validate``
+    judges values.
     """
-    mark = F.xxhash64("line").cast("string")
-    doc = F.try_parse_json(F.concat(F.lit("["), "line", F.lit(',"'), mark, F.lit('"]')))
+    doc, one_object = _strict("line")
     has_keys = F.lit(True)
-    for key in S.REQUIRED_KEYS:
+    for key in required:
         has_keys = has_keys & _field(key).isNotNull()
-    second = F.try_variant_get("doc", "$[1]", "string")
-    one_object = F.coalesce(second == mark, F.lit(False)) & F.try_variant_get("doc", "$[2]", "variant").isNull()
     return (
         lines.filter(~F.col("line").rlike(r"^\s*$"))
         .withColumn("doc", doc)
@@ -44,9 +53,11 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def extract_fields(parsed: DataFrame) -> DataFrame:
+def extract_fields(parsed: DataFrame, optional_timestamp: bool = False) -> DataFrame:
     """Replace ``doc`` by typed columns; a wrong JSON type becomes a reason.
 
+    With ``optional_timestamp`` a null is as good as no timestamp.
+
     Types are read from the variant because a plain cast would accept the number 5 as
     the string "5". Text columns are NULL where the value is no string, so the reasons
     follow from NULLs in a second projection and no value is taken out twice.
@@ -68,7 +79,9 @@ def extract_fields(parsed: DataFrame) -> DataFrame:
         "reason",
         *[text(f).alias(f) for f in _FIELDS[:-1]],
         F.try_variant_get("_metadata", "$", "map<string,string>").alias("metadata"),
-        F.col("_timestamp").isNotNull().alias("_has_timestamp"),
+        (
+            F.col("_timestamp").isNotNull() & (F.lit(not optional_timestamp) | (kind("timestamp") != "VOID"))
+        ).alias("_has_timestamp"),
         F.col("_host").isNotNull().alias("_has_host"),
         (no_pairs | F.coalesce(only_text, F.lit(False))).alias("_good_metadata"),
     )
@@ -180,6 +193,44 @@ def ingest_lines(lines: DataFrame, as_of: dt.datetime | None = None) -> DataFram
     return rows.withColumn("reason", _computed_once("reason"))
 
 
+def request_lines(requests: DataFrame) -> DataFrame:
+    """Request bodies (``request``, ``body``) to one row for each event: ``request, file, off, line``.
+
+    A body is one event or a JSON array of events; ``off`` is the event's place in it. A body that
+    is no JSON stays one line, which the parser will refuse; an empty array or an empty body
+    becomes a row without a line.
+    """
+    doc, one_value = _strict("body")
+    parsed = requests.select("request", "body", doc.alias("doc"))
+    items = F.try_variant_get("doc", "$[0]", "array<variant>")
+    bodies = (
+        F.when(~one_value, F.array("body"))
+        .when(items.isNull(), F.array("body"))
+        .when(F.size(items) == 0, F.array(F.lit(None).cast("string")))
+        .otherwise(F.transform(items, lambda item: F.to_json(item)))
+    )
+    blank = F.coalesce(F.trim("body") == "", F.lit(True))
+    lines = F.when(blank, F.array(F.lit(None).cast("string"))).otherwise(bodies)
+    return parsed.select(
+        "request", F.col("request").cast("string").alias("file"), F.posexplode(lines).alias("off", "line")
+    ).withColumn("off", F.col("off").cast("bigint"))
+
+
+def ingest_requests(requests: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Request bodies to log rows with a ``reason``, all or nothing for each request (``batch_ok``).
+
+    Other than in log files, an event without a timestamp is one of ``as_of``. A request
+    without events fails with ``empty_request``.
+    """
+    lines = request_lines(requests)
+    empty = lines.filter(F.col("line").isNull()).select("request", F.lit("empty_request").alias("reason"))
+    required = tuple(key for key in S.REQUIRED_KEYS if key != "timestamp")
+    parsed = parse_lines(lines.filter(F.col("line").isNotNull()), required)
+    rows = enrich(validate(normalize_ts(extract_fields(parsed, optional_timestamp=True), as_of)))
+    rows = rows.withColumn("reason", _computed_once("reason"))
+    return batch_gate(rows.unionByName(empty, allowMissingColumns=True), "request")
+
+
 def accepted(events: DataFrame) -> DataFrame:
     return events.filter(F.col("reason").isNull()).select(*S.LOG_COLUMNS)
 

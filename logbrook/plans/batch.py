@@ -626,6 +626,27 @@ def _ingest_lines(spark, sf_dir):
     return rows.select("event_id", "reason", *S.LOG_COLUMNS[:-1])
 
 
+@register(
+    "ingest_requests",
+    f"""WITH {_LOGS},
+    sent AS (
+      SELECT l.event_id // 5 AS request, l.event_id % 5 AS off, l."timestamp" AS ts, l.severity, e.event_type,
+        l.service_name, l.event_id // 5 % 7 AS kind
+      FROM logs l JOIN events e USING (event_id))
+    SELECT request, off, CASE WHEN kind = 1 AND off = 0 THEN 'bad_severity' END AS reason, kind <> 1 AS batch_ok,
+      CASE WHEN kind = 4 AND off < 2 THEN TIMESTAMP '2024-01-31' ELSE date_trunc('second', ts) END AS "timestamp",
+      CASE WHEN kind = 1 AND off = 0 THEN 'LOUD' ELSE severity END AS severity, event_type AS message, service_name
+    FROM sent WHERE kind NOT IN (2, 3, 5) OR (kind = 3 AND off = 0)
+    UNION ALL SELECT DISTINCT request, NULL, 'empty_request', false, NULL, NULL, NULL, NULL FROM sent WHERE kind = 2
+    UNION ALL SELECT DISTINCT request, 0, 'not_json', false, NULL, NULL, NULL, NULL FROM sent WHERE kind = 5""",
+)
+def _ingest_requests(spark, sf_dir):
+    rows = ingest.ingest_requests(view.request_bodies(spark, sf_dir), AS_OF)
+    known = F.col("reason").isNull() | (F.col("reason") == "bad_severity")
+    shown_only = {c: F.when(known, F.col(c)) for c in ("timestamp", "severity", "message", "service_name")}
+    return rows.withColumns(shown_only).select("request", "off", "reason", "batch_ok", *shown_only)
+
+
 @register(
     "batch_gate",
     f"""WITH {_CHECKED_DOCUMENTS}

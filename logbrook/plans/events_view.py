@@ -124,6 +124,35 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as bodies of requests, five in each, some of them special (by ``request`` modulo 7).
+
+    1: the first event is wrong; 2: no events; 3: the first event alone, not in an array; 4: the
+    first event has no timestamp, the second a null; 5: no JSON.
+    """
+    events = table(spark, sf_dir, "events")
+    request = F.floor(F.col("event_id") / 5).cast("bigint")
+    kind = request % 7
+    sent = F.concat(F.lit('"timestamp":"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('",'))
+    first, second = F.col("event_id") % 5 == 0, F.col("event_id") % 5 == 1
+    stamp = F.when((kind == 4) & first, "").when((kind == 4) & second, '"timestamp":null,').otherwise(sent)
+    severity = F.when((kind == 1) & first, "LOUD").otherwise(_severity())
+    item = F.concat(
+        F.lit("{"), stamp, F.lit('"service":"'), _service(), F.lit('","severity":"'), severity,
+        F.lit('","message":"'), F.col("event_type"), F.lit('"}'),
+    )
+    grouped = events.select(request.alias("request"), F.struct("event_id", item.alias("item")).alias("event"))
+    bodies = grouped.groupBy("request").agg(F.sort_array(F.collect_list("event")).alias("events"))
+    kind, items = F.col("request") % 7, F.col("events.item")
+    body = (
+        F.when(kind == 2, "[]")
+        .when(kind == 3, items[0])
+        .when(kind == 5, F.concat(F.lit("["), F.array_join(items, ",")))
+        .otherwise(F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")))
+    )
+    return bodies.select("request", body.alias("body"))
+
+
 def document_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as events to validate: source = service, whole text = message.
 

@@ -101,23 +101,13 @@ def _stream_registry(spark, sf_dir):
 
 @register(
     "stream_windowed",
-    with_rollup(
-        """SELECT service_name, hour_bucket, error_count, warn_count, info_count, debug_count
-        FROM rollup WHERE hour_bucket + INTERVAL 2 HOUR <= (SELECT max("timestamp") FROM logs)"""
-    ),
+    with_rollup("SELECT service_name, hour_bucket, error_count, warn_count, info_count, debug_count FROM rollup"),
 )
 def _stream_windowed(spark, sf_dir):
     base = work_dir(spark, "stream-windowed")
     counts = jobs.windowed_counts(view.logs_of(view.event_stream(spark, sf_dir)), "1 hour")
-    query = (
-        counts.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{base}/closed_hours")
-    )
-    query.awaitTermination()
-    return spark.read.schema(counts.schema).parquet(f"{base}/closed_hours")
+    jobs.keep_windowed(counts, f"{base}/hours", f"{base}/checkpoint", once=True).awaitTermination()
+    return jobs.read_windowed(spark, f"{base}/hours")
 
 
 @register(

@@ -108,6 +108,33 @@ def windowed_counts(logs: DataFrame, lateness: str = "1 hour") -> DataFrame:
     )
 
 
+def keep_windowed(counts: DataFrame, path: str, checkpoint: str, once: bool = False, interval: str = FLUSH_INTERVAL) -> StreamingQuery:
+    """Store ``windowed_counts`` as they change, open hours included.
+
+    Every micro-batch writes the hours it changed, with their counts so far, into its own folder;
+    ``read_windowed`` takes the newest counts of each hour.
+    """
+
+    def write(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return (
+        counts.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(once, interval))
+        .start()
+    )
+
+
+def read_windowed(spark: SparkSession, path: str) -> DataFrame:
+    """Counts of every hour that ``keep_windowed`` has seen."""
+    fields = [f for f in S.HOURLY_SCHEMA if f.name in ("service_name", "hour_bucket", *S.COUNT_COLUMNS)]
+    rows = spark.read.schema(T.StructType([*fields, T.StructField("batch_id", T.LongType())])).parquet(path)
+    newest = F.max(F.struct("batch_id", *S.COUNT_COLUMNS)).alias("newest")
+    return rows.groupBy("service_name", "hour_bucket").agg(newest).select("service_name", "hour_bucket", *[f"newest.{c}" for c in S.COUNT_COLUMNS])
+
+
 def deduplicated(logs: DataFrame, lateness: str = "1 hour") -> DataFrame:
     """Stream without repeated ids; an id is remembered for ``lateness`` of event time."""
     unique = _watermarked(logs, lateness).dropDuplicatesWithinWatermark(["log_uuid"])
