@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,12 +28,12 @@ def configure(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for one job, below the folder the cluster shares.
 
-    The base is ``spark.checkpoint.dir``. Only a local session without that setting falls
-    back to a temporary folder, because there driver and executors are one machine.
+    The base is ``spark.checkpoint.dir``. Only a session of a single local process without that
+    setting falls back to a temporary folder, because there driver and executors are one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="logbrook-")
     return f"{base.rstrip('/')}/logbrook-{label}-{uuid.uuid4().hex[:12]}"

@@ -34,6 +34,7 @@ import sys
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark import cloudpickle
@@ -145,34 +146,53 @@ class Folder:
                 if at < 0:
                     return
             f.seek(at)
-            rest, read_to = b"", at
+            waiting: list[bytes] = []
+            read_to = at
             while at < part.high:
                 data = f.read(min(BLOCK, part.limit - read_to)) if read_to < part.limit else b""
                 read_to += len(data)
-                rest += data
-                cut = rest.rfind(b"\n") + 1
-                if not data:
-                    cut = len(rest)
-                lines = rest[:cut].split(b"\n") if cut else []
-                rest = rest[cut:]
-                if lines and not lines[-1]:
-                    lines.pop()
-                offsets, texts = [], []
-                for line in lines:
-                    if at >= part.high:
-                        break
-                    offsets.append(at)
-                    texts.append(line.removesuffix(b"\r").decode("utf-8", "replace"))
-                    at += len(line) + 1
-                if offsets:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([part.file] * len(offsets)), pa.array(offsets), pa.array(texts)],
-                        schema=_ARROW,
-                    )
+                cut = data.rfind(b"\n") + 1
+                if data and not cut:
+                    waiting.append(data)
+                    continue
+                block = b"".join([*waiting, data[:cut]])
+                waiting = [data[cut:]]
+                if block:
+                    yield _whole_lines(part, block, at)
+                    at += len(block)
                 if not data:
                     return
 
 
+def _whole_lines(part: ByteRange, block: bytes, at: int) -> pa.RecordBatch:
+    """The lines of a block that begins at byte ``at`` with a line, as far as they begin in the split.
+
+    Newlines are found and cut out over the whole block at once; only a block with broken UTF-8 is
+    decoded line by line.
+    """
+    data = np.frombuffer(block, np.uint8)
+    ends = np.flatnonzero(data == 10)
+    if not len(ends) or ends[-1] != len(data) - 1:
+        ends = np.append(ends, len(data))
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    count = int(np.searchsorted(starts, part.high - at))
+    starts, ends = starts[:count], ends[:count]
+    returns = (ends > starts) & (data[np.maximum(ends - 1, 0)] == 13)
+    try:
+        block.decode()
+    except UnicodeDecodeError:
+        stops = ends - returns
+        texts = pa.array([block[i:j].decode("utf-8", "replace") for i, j in zip(starts.tolist(), stops.tolist())], pa.string())
+    else:
+        kept = np.ones(int(ends[-1]) if count else 0, bool)
+        kept[ends[:-1]] = False
+        kept[ends[returns] - 1] = False
+        places = np.concatenate(([0], np.cumsum(ends - starts - returns))).astype(np.int32)
+        texts = pa.StringArray.from_buffers(count, pa.py_buffer(places.tobytes()), pa.py_buffer(data[: len(kept)][kept].tobytes()))
+    files = pa.DictionaryArray.from_arrays(np.zeros(count, np.int32), [part.file]).cast(pa.string())
+    return pa.RecordBatch.from_arrays([files, pa.array(starts + at), texts], schema=_ARROW)
+
+
 class OnceReader(DataSourceReader):
     """All current lines, a last line without newline included."""
 
