@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from logbrook.operators import ingest
@@ -139,3 +140,58 @@ def test_gate_fails_whole_batches(spark):
     df = spark.createDataFrame(rows, "batch int, reason string")
     got = ingest.batch_gate(df, "batch").groupBy("batch").agg(F.collect_set("batch_ok").alias("ok"))
     assert {r["batch"]: r["ok"] for r in got.collect()} == {1: [True], 2: [False], 3: [False]}
+
+
+def test_request_bodies(spark):
+    good, later = event(), event(timestamp="2026-03-17T11:00:00Z")
+    bodies = {
+        good: [None],
+        f"[{good}]": [None],
+        f" [{good}, {later}] ": [None, None],
+        f"[{good},{event(severity='loud')}]": [None, "bad_severity"],
+        "[]": ["empty_request"],
+        "": ["empty_request"],
+        None: ["empty_request"],
+        "junk": ["not_json"],
+        f"[{good}] x": ["not_json"],
+        f"[{good}": ["not_json"],
+        "[1]": ["missing_key"],
+        f"[[{good}]]": ["missing_key"],
+        event(message=...): ["missing_key"],
+    }
+    df = spark.createDataFrame(list(enumerate(bodies)), "request int, body string")
+    rows = ingest.ingest_requests(df, dt.datetime(2026, 4, 1)).collect()
+    for number, (body, reasons_) in enumerate(bodies.items()):
+        mine = sorted((r for r in rows if r["request"] == number), key=lambda r: r["off"] or 0)
+        assert [r["reason"] for r in mine] == reasons_, body
+        assert {r["batch_ok"] for r in mine} == {reasons_ == [None] * len(reasons_)}, body
+
+
+def test_requests_may_leave_out_the_timestamp(spark):
+    as_of = dt.datetime(2026, 4, 1)
+    bodies = [event(timestamp=...), event(timestamp=None), event(timestamp="soon"), event(timestamp=5), event()]
+    df = spark.createDataFrame([(0, f"[{','.join(bodies)}]")], "request int, body string")
+    rows = sorted(ingest.ingest_requests(df, as_of).collect(), key=lambda r: r["off"])
+    assert [r["reason"] for r in rows] == [None, None, "bad_timestamp", "bad_timestamp", None]
+    assert [r["timestamp"] for r in rows if r["reason"] is None] == [as_of, as_of, dt.datetime(2026, 3, 17, 10)]
+    assert len({r["log_uuid"] for r in rows}) == 5
+
+
+def test_text_behind_the_object_is_refused(spark):
+    good = event()
+    for tail in ("]", "] junk", '] {"x":1', '],"1"', "]]", "}", ",1"):
+        assert reasons(spark, [good + tail], ingest.parse_lines) == {good + tail: "not_json"}
+
+
+def test_gate_and_numbering_with_null_keys(spark):
+    rows = [(None, None), (None, "bad"), (1, None), (2, "bad"), (2, None)]
+    events = spark.createDataFrame(rows, "batch int, reason string")
+    got = {(r["batch"], r["reason"]): r["batch_ok"] for r in ingest.batch_gate(events, "batch").collect()}
+    assert got == {(None, None): False, (None, "bad"): False, (1, None): True, (2, "bad"): False, (2, None): False}
+    with pytest.raises(ValueError, match="file and off"):
+        ingest.number_batches(spark.createDataFrame([("x",)], "line string"))
+    lines = spark.createDataFrame([("f", None, "x")], "file string, off long, line string")
+    with pytest.raises(Exception, match="without an offset"):
+        ingest.number_batches(lines).collect()
+    nameless = spark.createDataFrame([(None, 100 * i, "x") for i in range(150)], "file string, off long, line string")
+    assert ingest.number_batches(nameless).groupBy("batch_no").count().count() == 2

@@ -293,3 +293,9 @@ def test_csv(spark, tmp_path):
     assert {r[4] for r in read[1:] if r[3] == " padded "} == {""}
     assert read[1][0] == "2026-03-17T10:00:00.000000"
     assert 'He said ""no"", twice' in open(part).read()
+
+
+def test_host_layout_is_kept_with_the_batch(spark, tables):
+    for _ in range(2):
+        sink.load_lines(lines_df(spark, [wire(i, host=f"h{i % 2}") for i in range(20)]), tables, "r", by_host=True)
+    assert rows_of(t.read_logs_by_host(spark, tables.by_host)) == rows_of(t.read_logs(spark, tables.logs).drop("ingest_id"))
