@@ -29,11 +29,7 @@ def text_size(text: Column | str) -> Column:
 
 def word_count(text: Column | str) -> Column:
     """Number of runs of anything but ASCII white space; null as none."""
-    return F.coalesce(F.regexp_count(F.col(text) if isinstance(text, str) else text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-
-
-def arrow_map(df: DataFrame, function, schema: T.StructType | str) -> DataFrame:
-    return df.mapInArrow(function, schema)
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
 def fields(df: DataFrame, **added: T.DataType) -> T.StructType:

@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -156,7 +157,7 @@ def repeated_leads(texts: DataFrame) -> tuple[np.ndarray, int]:
     bits = min(max(1 << (16 * twice.count()).bit_length(), _SEGMENT_BITS), _FILTER_BITS)
     places = twice.select(F.col("hash").bitwiseAND(F.lit(bits - 1)).alias("bit")).distinct()
 
-    def segment(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def segment(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         plane = np.zeros(_SEGMENT_BITS, np.uint8)
         plane[rows["bit"].to_numpy() % _SEGMENT_BITS] = 1
         return pd.DataFrame({"segment": [key[0]], "plane": [np.packbits(plane, bitorder="little").tobytes()]})
@@ -339,7 +340,7 @@ def _bucket(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Record
         yield solve(waiting, cut, True)
 
 
-def _across(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _across(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
     """Strings of bucket ends that were found in several places."""
     digests = np.frombuffer(b"".join(rows["digests"]), "S16").view("<u8").reshape(-1, 2)
     in_rows = np.frombuffer(b"".join(rows["rows"]), np.int64)
