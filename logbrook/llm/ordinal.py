@@ -20,7 +20,7 @@ from logbrook.llm.common import documents, fields, utf8
 BUCKETS = 1 << 20
 SAMPLE_ROWS = 8192
 #: A bucket gets a weight if it is in so many sampled rows, and if the share of some grade among them is
-#: so many standard errors away from its share in all of them.
+#: so many standard errors away from what is expected.
 MIN_DOCUMENTS = 6
 MIN_ERRORS = 4.0
 #: Bytes of word beginnings that are features too, for words that share a stem.
@@ -98,15 +98,16 @@ def fit(features: list[np.ndarray], grades: np.ndarray, grades_in_all: int = GRA
     lengths = np.array([len(f) for f in features], np.int64)
     if not lengths.sum() or len(np.unique(grades)) < 2:
         return OrdinalModel(weights, thresholds)
-    flat = np.concatenate(features).astype(np.int64)
-    rows = np.repeat(np.arange(len(features)), lengths)
-    common = telling(flat, rows, grades)
+    flat = np.concatenate(features).view(np.int32)
+    rows = np.repeat(np.arange(len(features), dtype=np.int32), lengths)
+    common = telling(flat, grades[rows].astype(np.int8))
     if not len(common):
         return OrdinalModel(weights, thresholds)
-    place = np.full(BUCKETS, -1, np.int64)
+    place = np.full(BUCKETS, -1, np.int32)
     place[common] = np.arange(len(common))
-    used = place[flat] >= 0
-    columns, rows = place[flat[used]], rows[used]
+    flat = place[flat]
+    columns, rows = flat[flat >= 0], rows[flat >= 0]
+    del flat
     value = np.concatenate((np.zeros(len(common)), [thresholds[0]], np.log(np.maximum(np.diff(thresholds), 1e-2))))
     first = np.zeros_like(value)
     second = np.zeros_like(value)
@@ -138,13 +139,17 @@ def fit(features: list[np.ndarray], grades: np.ndarray, grades_in_all: int = GRA
     return OrdinalModel(weights, value[len(common)] + np.concatenate(([0], np.cumsum(np.exp(value[len(common) + 1 :])))))
 
 
-def telling(flat: np.ndarray, rows: np.ndarray, grades: np.ndarray) -> np.ndarray:
-    """Buckets that are frequent enough and differ in some grade's share."""
+def telling(flat: np.ndarray, grades: np.ndarray) -> np.ndarray:
+    """Buckets that are frequent enough and whose rows differ in some grade's share.
+
+    ``grades`` are those of the rows that ``flat`` was found in. A share is compared with that among
+    all features found, so that long documents, which have more of them, are expected more often.
+    """
     found = np.bincount(flat, minlength=BUCKETS)
     errors = np.zeros(BUCKETS)
     for grade in np.unique(grades):
         share = np.mean(grades == grade)
-        here = np.bincount(flat, grades[rows] == grade, BUCKETS)
+        here = np.bincount(flat[grades == grade], minlength=BUCKETS)
         spread = np.sqrt(np.maximum(found * share * (1 - share), 1e-9))
         errors = np.maximum(errors, np.abs(here - found * share) / spread)
     return np.flatnonzero((found >= MIN_DOCUMENTS) & (errors >= MIN_ERRORS))
@@ -180,7 +185,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, fo
 
     rows = joined.mapInArrow(features, "doc_id long, grade int, found binary").dropDuplicates(["doc_id"]).collect()
     rows.sort(key=lambda row: row["doc_id"])
-    return fit([np.frombuffer(r["found"], np.uint32) for r in rows], np.array([r["grade"] for r in rows], np.int64))
+    grades = np.array([r["grade"] for r in rows], np.int64)
+    found = [np.frombuffer(r["found"], np.uint32) for r in rows]
+    return fit(found, grades)
 
 
 _ADDED = {"expected_grade": T.DoubleType(), "tail_1": T.DoubleType(), "tail_2": T.DoubleType(), "kept": T.BooleanType()}
