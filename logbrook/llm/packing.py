@@ -16,6 +16,7 @@ from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from unicodedata import normalize
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -66,7 +67,7 @@ class WordEncoder:
         for word in set(words).difference(young):
             if word in old:
                 young[word] = old[word]
-            elif word[-1] in b",." and (base := word[:-1]) and base.decode().isalpha():
+            elif word[-1] in b",." and (base := word[:-1]) and (letters := base.decode()).isalpha() and stays_letter(letters[-1]):
                 ended.append(word)  # letters, then one sign: two tokens of the splitting rule
                 if base in old:
                     young[base] = old[base]
@@ -100,6 +101,13 @@ def plain(word: bytes) -> bool:
     return letters.isalpha() and letters.lower() == letters and max(letters) < "\u0250"
 
 
+@lru_cache(maxsize=1 << 16)
+def stays_letter(letter: str) -> bool:
+    """Whether NFC and lower-casing leave a single letter, so that no combining mark joins the sign behind it."""
+    changed = {normalize("NFC", normalize("NFC", letter).lower()), normalize("NFC", letter.lower())}
+    return all(len(c) == 1 and c.isalpha() for c in changed)
+
+
 def _byte_level() -> dict[int, int]:
     """The byte-level alphabet: visible Latin-1 bytes stand for themselves, the others follow from 256 on."""
     visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}

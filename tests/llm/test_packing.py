@@ -77,6 +77,14 @@ def test_words_give_the_ids_of_the_text(text):
         assert got == MODEL.encode(text, add_special_tokens=False).ids
 
 
+def test_every_letter_before_a_sign_gives_the_ids_of_the_text():
+    words = [a + chr(c) + sign for c in range(0x80, 0x30000) if chr(c).isalpha() for a in ("", "k") for sign in ",."]
+    encoder = packing.WordEncoder(packing.TOKENIZER, cached=len(words) * 2)
+    encoder.encode(" ".join(words).encode())
+    want = MODEL.encode_batch_fast(words, add_special_tokens=False)
+    assert [w for w, e in zip(words, want) if np.frombuffer(encoder.encode(w.encode()), "<u4").tolist() != e.ids] == []
+
+
 def test_chunks_end_at_white_space():
     text = b"ab cde  f\nghij klm"
     assert b"".join(packing.chunks(text, 4)) == text
