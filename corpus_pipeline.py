@@ -33,8 +33,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of the sources: a row for each pass over a document, cut to the words that the pass takes."""
-    return mixed_documents(docs)
+    """The mix of the sources, shard after shard: a row for each pass over a document and shard, cut to the words taken."""
+    return mixed_documents(docs).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

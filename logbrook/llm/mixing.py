@@ -4,8 +4,9 @@ Each source's documents lie in a seeded order on a tape of tokens (words), which
 of equal length. Seats, one block each, go to the sources by highest quotients target / (2 j + 1);
 consecutive seats form a shard, so every shard has an integer quota for each source and holds the
 mixture. A source's k-th seat takes its k-th block in a seeded block order, and after the last
-block the tape starts again. Whole blocks miss a target by a part of a block, which would be much
-for a small source; so its last block is cut, or one more begun, by less than a block.
+block the tape starts again; the block's words go to the shard of the seat. Whole blocks miss a
+target by a part of a block, which would be much for a small source; so its last block is cut, or
+one more begun, by less than a block. Blocks behind a source's last seat go to the shard of that seat.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from logbrook.llm.common import documents, fields, running, utf8, word_count
 from logbrook.session import written
@@ -69,8 +70,8 @@ def targets(sizes: DataFrame) -> DataFrame:
     return written(sources.withColumn("target", target).drop("most"), "mix-targets")
 
 
-def seats(sources: DataFrame, block_tokens: int, shard_seats: int = SHARD_SEATS) -> DataFrame:
-    """Quotas (number, shard, seats): all blocks' worth of the targets, dealt by highest quotients.
+def dealt(sources: DataFrame, block_tokens: int, shard_seats: int = SHARD_SEATS) -> DataFrame:
+    """Seats (number, j, shard) of all blocks' worth of the targets, dealt by highest quotients; j counts a source's seats from 0.
 
     Ties go to the source with the smaller number. ``shard_seats`` consecutive seats form a shard.
     """
@@ -78,22 +79,28 @@ def seats(sources: DataFrame, block_tokens: int, shard_seats: int = SHARD_SEATS)
         "number", "target", (F.floor(F.col("target") / block_tokens) + 2).alias("most")
     )
     bids = _numbered(asked, "most", "j").select(
-        "number", (-F.col("target") / (2 * F.col("j") + 1)).alias("quotient"), F.lit(1).cast("long").alias("one")
+        "number", "j", (-F.col("target") / (2 * F.col("j") + 1)).alias("quotient"), F.lit(1).cast("long").alias("one")
     )
     ranked = running(bids, ["quotient", "number"], "one", "mix-seats", "seat")
     in_all = F.lit(round((sources.agg(F.sum("target")).first()[0] or 0) / block_tokens))
-    return (
-        ranked.filter(F.col("seat") < in_all)
-        .groupBy("number", F.expr(f"seat div {shard_seats}").alias("shard"))
-        .agg(F.count("*").alias("seats"))
-    )
+    return ranked.filter(F.col("seat") < in_all).select("number", "j", F.expr(f"seat div {shard_seats}").alias("shard"))
+
+
+def quotas_of(seated: DataFrame) -> DataFrame:
+    """Quotas (number, shard, seats) of dealt seats."""
+    return seated.groupBy("number", "shard").agg(F.count("*").alias("seats"))
+
+
+def seats(sources: DataFrame, block_tokens: int, shard_seats: int = SHARD_SEATS) -> DataFrame:
+    """Quotas (number, shard, seats) of every source in every shard."""
+    return quotas_of(dealt(sources, block_tokens, shard_seats))
 
 
 def blocks(sources: DataFrame, quotas: DataFrame, block_tokens: int, seed: str) -> DataFrame:
-    """(number, block, epoch, taken): how many leading tokens of a block the mix takes in each pass over the tape.
+    """(number, block, epoch, taken, j): how many leading tokens of a block the mix takes in each pass over the tape.
 
     A source's seats, taken in its seeded block order, make up its words; they are cut or exceeded by less
-    than a block to meet the target.
+    than a block to meet the target. ``j`` counts a source's blocks in the order taken, through all passes.
     """
     held = quotas.groupBy("number").agg(F.sum("seats").alias("seats"))
     whole = F.coalesce(F.col("seats"), F.lit(0)) * block_tokens
@@ -115,20 +122,40 @@ def blocks(sources: DataFrame, quotas: DataFrame, block_tokens: int, seed: str)
     placed = running(keyed, ["number", "key", "block"], "length", "mix-blocks", "place")
     firsts = placed.groupBy("number").agg(F.min("place").alias("__first"))
     before = F.col("place") - F.col("__first") + F.col("epoch") * F.col("source_size")
+    # A shorter block, of which a source has one, moves the places behind it by less than a block.
+    rank = F.expr(f"(place - __first + {block_tokens - 1}) div {block_tokens}")
+    in_pass = F.expr(f"(source_size + {block_tokens - 1}) div {block_tokens}")
     return (
         placed.join(firsts, "number")
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(REPEATS - 1))))
         .withColumn("taken", F.greatest(F.least(F.col("demand") - before, F.col("length")), F.lit(0)))
         .filter("taken > 0")
-        .select("number", "block", "epoch", "taken")
+        .select("number", "block", "epoch", "taken", (rank + F.col("epoch") * in_pass).alias("j"))
     )
 
 
-def plan(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: str = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
+def in_shards(taken: DataFrame, seated: DataFrame) -> DataFrame:
+    """Blocks with the shard of their seat: a source's j-th block has its j-th seat.
+
+    Blocks behind the last seat have the shard of that seat; a source without seats is in the last shard.
+    """
+    last = F.lit(seated.agg(F.max("shard")).first()[0] or 0).cast("long")
+    ends = seated.groupBy("number").agg(F.max("shard").alias("__end"))
+    return (
+        taken.join(seated, ["number", "j"], "left")
+        .join(ends, "number", "left")
+        .withColumn("shard", F.coalesce("shard", "__end", last))
+        .drop("j", "__end")
+    )
+
+
+def plan(
+    docs: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: str = SEED, shard_seats: int = SHARD_SEATS
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, spans, quotas) of a mix of documents (doc_id, text, source).
 
-    rows: __row, doc_id, size, source_size, target; spans: __row, epoch, start, stop, the words
-    of a row that a pass takes; quotas: seats of each source and shard. A null text has no words, null
+    rows: __row, doc_id, size, source_size, target; spans: __row, epoch, shard, start, stop, the
+    words of a row that a pass takes for a shard; quotas: seats of each source and shard. A null text has no words, null
     sources form one source, repeated rows are rows of their own. ``__row`` is the row's place in
     the input, which must give its rows in the same order at every reading, as a stored table does.
     """
@@ -154,10 +181,11 @@ def plan(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: str = SEED) ->
     )
     start = F.greatest(F.col("block") * block_tokens - F.col("begin"), F.lit(0))
     stop = F.least(F.col("block") * block_tokens + F.col("taken") - F.col("begin"), F.col("size"))
-    quotas = written(seats(sources, block_tokens), "mix-quotas")
+    seated = written(dealt(sources, block_tokens, shard_seats), "mix-seats-dealt")
+    quotas = written(quotas_of(seated), "mix-quotas")
     spans = (
-        parts.join(blocks(sources, quotas, block_tokens, seed), ["number", "block"])
-        .select("__row", "epoch", start.alias("start"), stop.alias("stop"))
+        parts.join(in_shards(blocks(sources, quotas, block_tokens, seed), seated), ["number", "block"])
+        .select("__row", "epoch", "shard", start.alias("start"), stop.alias("stop"))
         .filter("start < stop")
     )
     return rows, spans, quotas
@@ -172,38 +200,54 @@ def mix_counts(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: str = SE
     )
 
 
-def mixed_documents(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: str = SEED) -> DataFrame:
-    """The mix itself: a row of ``docs`` for each pass that takes words of it, its text cut to these words.
+def mixed_documents(
+    docs: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: str = SEED, shard_seats: int = SHARD_SEATS
+) -> DataFrame:
+    """The mix itself: a row of ``docs`` for each pass and shard that takes words of it, its text cut to these words.
 
-    White space between words that stay neighbours is kept. ``n_chars``, where there is one, follows the text.
+    ``shard`` is added; the rows lie in the order of the shards. White space between words that stay
+    neighbours is kept. ``n_chars``, where there is one, follows the text.
     """
-    _, spans, _ = plan(docs, block_tokens, seed)
-    taken = spans.groupBy("__row", "epoch").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("__spans"))
+    docs = docs.drop("shard")
+    _, spans, _ = plan(docs, block_tokens, seed, shard_seats)
+    taken = spans.groupBy("__row", "epoch").agg(F.array_sort(F.collect_list(F.struct("shard", "start", "stop"))).alias("__spans"))
     joined = docs.withColumn("__row", F.monotonically_increasing_id()).join(taken, "__row").drop("__row", "epoch")
-    schema = fields(docs)
+    schema = fields(docs, shard=T.LongType())
     word = re.compile(rb"[^\x20\x09-\x0D]+")
 
-    def cut(text: bytes, spans: list[dict]) -> str:
+    def cut(text: bytes, spans: list[dict]) -> Iterator[tuple[int, str]]:
         places = [m.span() for m in word.finditer(text)]
-        runs: list[list[int]] = []
+        shards: dict[int, list[list[int]]] = {}
         for span in spans:
+            runs = shards.setdefault(span["shard"], [])
             if runs and runs[-1][1] == span["start"]:
                 runs[-1][1] = span["stop"]
             else:
                 runs.append([span["start"], span["stop"]])
-        if runs == [[0, len(places)]]:
-            return text.decode()
-        return b"\n".join(text[places[a][0] : places[b - 1][1]] for a, b in runs).decode()
+        for shard, runs in shards.items():
+            if runs == [[0, len(places)]]:
+                yield shard, text.decode()
+            else:
+                yield shard, b"\n".join(text[places[a][0] : places[b - 1][1]] for a, b in runs).decode()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array([cut(t, s) for t, s in zip(utf8(batch.column("text")), batch.column("__spans").to_pylist())], pa.string())
-            columns = {name: batch.column(name) for name in schema.names} | {"text": texts}
+            found = [
+                (at, shard, cut_text)
+                for at, (t, s) in enumerate(zip(utf8(batch.column("text")), batch.column("__spans").to_pylist()))
+                for shard, cut_text in cut(t, s)
+            ]
+            rows, shards, texts = zip(*found) if found else ((), (), ())
+            at = pa.array(rows, pa.int64())
+            columns = {name: batch.column(name).take(at) for name in schema.names if name not in ("text", "shard")}
+            columns |= {"text": pa.array(texts, pa.string()), "shard": pa.array(shards, pa.int64())}
             if "n_chars" in columns:
-                columns["n_chars"] = pa.array([len(t) for t in texts.to_pylist()], columns["n_chars"].type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+                columns["n_chars"] = pa.array([len(t) for t in texts], columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays([columns[name] for name in schema.names], names=schema.names)
 
-    return joined.mapInArrow(write, schema)
+    keys = ["shard", "__tie"]
+    texts = written(joined.mapInArrow(write, schema), "mix-texts").withColumn("__tie", F.monotonically_increasing_id())
+    return texts.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__tie")
 
 
 OP5_SQL = rf"""

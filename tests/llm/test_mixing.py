@@ -2,6 +2,7 @@ from collections import defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from logbrook.llm import mixing
 
@@ -92,3 +93,21 @@ def test_texts_hold_the_words_taken(hard):
         assert any(all(w in t for w in kept) for t in whole)  # in the order of the text
         got[r["doc_id"], r["source"]] += len(kept)
     assert got == {k: n for k, n in counts.items() if n}
+
+
+def test_words_go_to_the_shards_of_their_seats(hard):
+    rows, spans, quotas = mixing.plan(hard, block_tokens=16, shard_seats=40)
+    number = {r["source"]: r["number"] for r in mixing.targets(rows.groupBy("source").agg(F.max("source_size").alias("source_size"))).collect()}
+    planned = {(q["number"], q["shard"]): q["seats"] for q in quotas.collect()}
+    got = defaultdict(int)
+    for r in mixing.mixed_documents(hard, block_tokens=16, shard_seats=40).collect():
+        got[number[r["source"]], r["shard"]] += len(words(r["text"]))
+    of_spans = spans.join(rows.select("__row", "source"), "__row").groupBy("source", "shard").agg(F.sum(F.col("stop") - F.col("start")).alias("n"))
+    assert got == {(number[r["source"]], r["shard"]): r["n"] for r in of_spans.collect()}
+    end = {n: max(shard for m, shard in planned if m == n) for n, _ in planned}
+    assert len(set(end.values())) > 1 and max(end.values()) > 5
+    for (n, shard), seats in planned.items():
+        short = 16 * mixing.REPEATS  # a source's short block, once in each pass
+        assert seats * 16 - short <= got[n, shard] + (16 if shard == end[n] else 0)
+        assert got[n, shard] <= seats * 16 + (short + 16 if shard == end[n] else 0)
+    assert all(shard == end.get(n, max(end.values())) for n, shard in set(got) - set(planned))
