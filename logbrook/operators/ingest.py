@@ -209,7 +209,7 @@ def request_lines(requests: DataFrame) -> DataFrame:
         .when(F.size(items) == 0, F.array(F.lit(None).cast("string")))
         .otherwise(F.transform(items, lambda item: F.to_json(item)))
     )
-    blank = F.coalesce(F.trim("body") == "", F.lit(True))
+    blank = F.coalesce(F.col("body").rlike(r"^\s*$"), F.lit(True))
     lines = F.when(blank, F.array(F.lit(None).cast("string"))).otherwise(bodies)
     return parsed.select(
         "request", F.col("request").cast("string").alias("file"), F.posexplode(lines).alias("off", "line")

@@ -195,3 +195,10 @@ def test_gate_and_numbering_with_null_keys(spark):
         ingest.number_batches(lines).collect()
     nameless = spark.createDataFrame([(None, 100 * i, "x") for i in range(150)], "file string, off long, line string")
     assert ingest.number_batches(nameless).groupBy("batch_no").count().count() == 2
+
+
+def test_bodies_of_white_space_alone_are_empty_requests(spark):
+    bodies = ["\n", "\t\t", " \r\n \n", "\x0b\x0c", " "]
+    df = spark.createDataFrame(list(enumerate(bodies)), "request int, body string")
+    rows = ingest.ingest_requests(df, dt.datetime(2026, 4, 1)).collect()
+    assert sorted((r["request"], r["reason"]) for r in rows) == [(k, "empty_request") for k in range(len(bodies))]
