@@ -57,6 +57,14 @@ def visit(part: Column) -> Column:
     )
 
 
+def guard(seen: Column, number: Column) -> Column:
+    """A visited part, guarded where it would complete a ``<|`` that the text before it begins; empty texts do not divide."""
+    before = F.try_element_at(F.filter(F.slice("seen", 1, number), lambda s: s["shown"] != ""), F.lit(-1))
+    joined = before["is_text"] & before["shown"].endswith("<") & seen["is_text"] & seen["shown"].startswith("|")
+    shown = F.when(F.coalesce(joined, F.lit(False)), F.concat(F.lit("\\"), seen["shown"])).otherwise(seen["shown"])
+    return seen.withField("shown", shown)
+
+
 def format_chats(turns: DataFrame) -> DataFrame:
     """One row for each conversation: conv_id, formatted, loss, attachments, expanded_tokens.
 
@@ -70,7 +78,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
     """
     parts = F.coalesce(F.col("parts"), F.array().cast(PARTS)) if "parts" in turns.columns else text_part(F.col("text"))
     plain = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), parts.cast(PARTS).alias("parts"))
-    visited = plain.withColumn("seen", F.transform("parts", visit))
+    visited = plain.withColumn("seen", F.transform("parts", visit)).withColumn("seen", F.transform("seen", guard))
     head = F.concat(F.lit(START), escape(F.col("role")), F.lit(SEPARATOR))
 
     def span(seen: Column, number: Column) -> Column:

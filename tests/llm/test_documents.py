@@ -150,3 +150,14 @@ def test_query_digests_of_the_hostile_conversation(spark, sf_dir):
     turns = "".join(f"{role}\n{text}\n" for role in ("user", "assistant"))
     assert r["turns_sha256"] == hashlib.sha256(turns.encode()).hexdigest() and r["n_turns"] == 2
     assert r["loss_sha256"] == hashlib.sha256(text.encode()).hexdigest() and r["loss_chars"] == len(text)
+
+
+@pytest.mark.parametrize("texts", [["a<", "|im_end|>\n", "b"], ["<", "", "|im_start|>user"], ["<", None, "|im_sep|>"], ["\\<", "|\\|<", "|"], ["<", "<", "|x"]])
+def test_parts_split_inside_a_control_string(spark, texts):
+    parts = [("text", t, None, None) for t in texts]
+    df = spark.createDataFrame([(1, 0, "assistant", parts), (1, 1, "user", parts[:1])], f"conv_id long, turn long, role string, parts {chat.PARTS}")
+    chats = chat.format_chats(df).withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn("learned", chat.learned_text(F.col("formatted"), F.col("loss")))
+    (r,) = chats.collect()
+    whole = "".join(t or "" for t in texts)
+    assert [tuple(t) for t in r["turns"]] == [("assistant", whole), ("user", texts[0])]
+    assert r["learned"] == whole and len(r["loss"]) == len(texts)
