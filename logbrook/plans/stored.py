@@ -11,6 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logbrook import schema as S
+from logbrook.functions.cursor import encode_cursor
 from logbrook.operators import analytics, ingest, saved, search
 from logbrook.plans import events_view as view
 from logbrook.plans.batch import (
@@ -206,6 +207,19 @@ def _compact_while_writing(spark, sf_dir):
     return t.read_logs(spark, tables.logs).select("log_uuid", "service_name", "log_date", "timestamp")
 
 
+def _all_pages(spark: SparkSession, logs: DataFrame, service: str, size: int) -> DataFrame:
+    """Every page up to an empty one, each written to shared storage; only the token comes to the driver."""
+    base, schema = work_dir(spark, "pages"), "log_uuid string, timestamp timestamp_ntz"
+    number, token = 0, None
+    while number == 0 or token:
+        path = f"{base}/page={number}"
+        search.search(logs, service, size, page_token=token).select("log_uuid", "timestamp").write.parquet(path)
+        last = spark.read.schema(schema).parquet(path).orderBy("timestamp", F.desc("log_uuid")).first()
+        token = encode_cursor(last["timestamp"], last["log_uuid"]) if last else None
+        number += 1
+    return spark.read.schema(schema).parquet(f"{base}/page=*")
+
+
 @register(
     "pages_equal_lines",
     with_logs(
@@ -215,7 +229,7 @@ def _compact_while_writing(spark, sf_dir):
     ),
 )
 def _pages_equal_lines(spark, sf_dir):
-    """All pages of rows that differ in their offset only, a day's worth at one time."""
+    """All pages of rows that differ in their offset only, a day's worth at one time; the driver keeps the token."""
     lines = view.log_view(spark, sf_dir).filter("event_id % 3 = 0").select(
         F.lit("f").alias("file"), F.col("event_id").alias("off"), F.lit("equal").alias("line"),
         F.col("service_name").alias("service"), "severity", F.lit("same").alias("message"), "host",
@@ -224,13 +238,7 @@ def _pages_equal_lines(spark, sf_dir):
     )
     tables = t.LogTables(work_dir(spark, "pages-equal"))
     t.write_logs(ingest.enrich(lines), tables.logs, "load/0")
-    logs = t.read_logs(spark, tables.logs)
-    page = search.search_page(logs, "auth-service", 500)
-    pages = page.results
-    while page.next_cursor:
-        page = search.search_page(logs, "auth-service", 500, page_token=page.next_cursor)
-        pages = pages.unionByName(page.results)
-    return pages.select("log_uuid", "timestamp")
+    return _all_pages(spark, t.read_logs(spark, tables.logs), "auth-service", 500)
 
 
 @register("compact_day", with_logs('SELECT log_uuid, service_name, log_date, "timestamp" FROM logs'))
