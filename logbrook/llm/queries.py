@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from logbrook.llm.chat import OP9_SQL, op9_chat_formatting
+from logbrook.llm.collocations import OP13_SQL, op13_phrase_collocations
 from logbrook.llm.conversation_repair import OP11_SQL, op11_conversation_repair
 from logbrook.llm.lm import op10_lm_scoring
 from logbrook.llm.mixing import OP5_SQL, op5_mixing
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_chat_formatting,
         op10_lm_scoring,
         op11_conversation_repair,
+        op13_phrase_collocations,
     )
 }
 ORACLES: dict[str, str] = {
@@ -40,4 +42,5 @@ ORACLES: dict[str, str] = {
     "op8_quality_rules": OP8_SQL,
     "op9_chat_formatting": OP9_SQL,
     "op11_conversation_repair": OP11_SQL,
+    "op13_phrase_collocations": OP13_SQL,
 }
