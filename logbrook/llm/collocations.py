@@ -8,9 +8,10 @@ a language's 2000th best surviving score so far is cut off, and the search ends
 
 Texts are read twice, to count words and to write them as codes: 64-bit hashes of frequent words, with
 zeros where a phrase cannot pass. A round is two passes over the codes: one counts the continuations of
-all open prefixes, one the rests of the new phrases. Tasks know what to count by a bitmap of fixed greatest
-size; what it lets through in vain is dropped by a join. Counts are exact: two words of one code would
-be noticed, and all words are given other codes.
+all open prefixes, one the rests of the new phrases; before the first, hashes of the continuations are
+counted in small tables, so that only such are shuffled as may be frequent. Tasks know what to count by
+bitmaps of fixed greatest size; what they let through in vain is dropped by a join. Counts are exact: two
+words of one code would be noticed, and all words are given other codes.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from xxhash import xxh64_intdigest
 
@@ -36,7 +38,9 @@ OCTAVE = 8
 
 #: The bitmap has 16 bits for each prefix, up to this many (32 MB); a fuller one only lets more through.
 _BITS = 1 << 28
-_SEGMENT_BITS = 1 << 20
+_SEGMENT_BITS = 1 << 16
+#: Places of a task's table of shared counts.
+_PLACES = 1 << 24
 _CHUNK = 1 << 20
 _DISTINCT = 1 << 17
 _POSITIONS = 1 << 18
@@ -164,9 +168,14 @@ def bitmap_of(prefixes: DataFrame) -> Bitmap:
         return pd.DataFrame({"segment": [key[0]], "plane": [np.packbits(plane, bitorder="little").tobytes()]})
 
     places = prefixes.select(*KEY[:-1]).mapInPandas(place, "segment long, bit long").distinct()
+    return _filled(places.groupBy("segment").applyInPandas(segment, "segment long, plane binary"), bits)
+
+
+def _filled(segments: DataFrame, bits: int) -> Bitmap:
+    """A bitmap from its segments; at most ``bits`` come to the driver."""
     filled = np.zeros(bits // 8, np.uint8)
     size = _SEGMENT_BITS // 8
-    for row in places.groupBy("segment").applyInPandas(segment, "segment long, plane binary").collect():
+    for row in segments.collect():
         filled[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(row["plane"], np.uint8)
     return filled, bits
 
@@ -193,18 +202,26 @@ def encoded(docs: DataFrame, frequent: DataFrame, seed: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[str, dict[bytes, int]] = {}
         for batch in batches:
-            langs, rows = _langs(batch), []
-            for lang, text in zip(langs, utf8(batch.column("text"))):
+            langs, rows, size = [], [], 0
+            for lang, text in zip(_langs(batch), utf8(batch.column("text"))):
                 table, found = tables.setdefault(lang, {}), [np.zeros(1, np.int64)]
                 for words in tokens(text):
                     learn(table, lang, words)
                     row = np.fromiter(map(table.__getitem__, words), np.int64, len(words))
                     found.append(row[row != -1])
                 row = np.concatenate(found)
+                langs.append(lang)
                 rows.append(row[(row != 0) | np.append(True, row[:-1] != 0)].tobytes())
-            if sum(map(len, tables.values())) > 4 * _DISTINCT:
+                size += len(rows[-1])
+                if size > _CHUNK:
+                    yield coded(langs, rows)
+                    langs, rows, size = [], [], 0
+            if sum(map(len, tables.values())) > 2 * _DISTINCT:
                 tables.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(rows, pa.binary())], names=["lang", "codes"])
+            yield coded(langs, rows)
+
+    def coded(langs: list[str], rows: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(rows, pa.binary())], names=["lang", "codes"])
 
     return docs.select("lang", "text").mapInArrow(encode, "lang string, codes binary")
 
@@ -214,16 +231,46 @@ def encoded(docs: DataFrame, frequent: DataFrame, seed: int) -> DataFrame:
 
 def _sequences(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
     """The codes of a batch by language, texts set apart by zeros, in stretches with a margin of zeros or neighbours."""
-    by_lang: dict[str, list[np.ndarray]] = {}
+    margin = LONGEST + 1
+    ends = np.zeros(margin, np.int64)
+    held: dict[str, list[np.ndarray]] = {}
+    sizes: Counter = Counter()
+
+    def stretches(lang: str) -> Iterator[tuple[str, np.ndarray]]:
+        whole = np.concatenate([ends, *held.pop(lang), ends])
+        sizes.pop(lang)
+        for begin in range(0, len(whole) - 2 * margin, _POSITIONS):
+            yield lang, whole[begin : begin + _POSITIONS + 2 * margin]
+
     for lang, codes in zip(batch.column("lang").to_pylist(), batch.column("codes")):
-        row = by_lang.setdefault(lang, [])
-        row.append(np.frombuffer(codes.as_buffer(), np.int64))
-        row.append(np.zeros(1, np.int64))
-    margin = np.zeros(LONGEST + 1, np.int64)
-    for lang, rows in by_lang.items():
-        whole = np.concatenate([margin, *rows, margin])
-        for begin in range(0, len(whole) - 2 * len(margin), _POSITIONS):
-            yield lang, whole[begin : begin + _POSITIONS + 2 * len(margin)]
+        row = np.frombuffer(codes.as_buffer(), np.int64)
+        held.setdefault(lang, []).extend((row, ends[:1]))
+        sizes[lang] += len(row) + 1
+        if sizes[lang] >= _POSITIONS:
+            yield from stretches(lang)
+    for lang in list(held):
+        yield from stretches(lang)
+
+
+def _phrases(
+    lang: str, row: np.ndarray, bitmap: Bitmap, lengths: range, growth: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Phrases that begin in a stretch with a marked prefix and are ``growth`` words longer: size, positions, hashes."""
+    own = np.arange(LONGEST + 1, len(row) - LONGEST - 1)
+    own = own[row[own] != 0]
+    hashes = np.full(len(own), lang_hash(lang))
+    for k in range(1, lengths.stop):
+        # ``own`` holds the positions where k words of a piece stand.
+        hashes = prefix_hashes(hashes, [row[own + k - 1]])
+        if k in lengths:
+            open_ = marked(bitmap, hashes)
+            if growth:
+                open_ &= row[own + k] != 0
+            if open_.any():
+                at, found = own[open_], hashes[open_]
+                yield k + growth, at, prefix_hashes(found, [row[at + k]]) if growth else found
+        longer = row[own + k] != 0
+        own, hashes = own[longer], hashes[longer]
 
 
 def _grouped(lang: str, k: int, words: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
@@ -244,37 +291,79 @@ def _grouped(lang: str, k: int, words: list[np.ndarray], left: np.ndarray, right
     return pa.RecordBatch.from_arrays(columns, names=[part.split()[0] for part in _COUNTED.split(", ")])
 
 
-def counted(codes: DataFrame, prefixes: DataFrame, lengths: range, growth: int) -> DataFrame:
+def frequent_hashes(codes: DataFrame, shared: Broadcast, lengths: range, growth: int, least: int, occurrences: int) -> Bitmap:
+    """A bitmap of the hashes that all phrases of a pass together reach ``least`` times: no other phrase can.
+
+    Tasks count hashes in a table of at most 16 MB, in which several share a place; the tables are
+    added up segment by segment. With very many phrases nearly every place is reached, and the
+    bitmap lets more through; the counts that follow are exact in any case.
+    """
+    places = min(max(1 << (occurrences // 4).bit_length(), _SEGMENT_BITS), _PLACES)
+    kind = np.uint8 if least <= 255 else np.uint32
+    most = np.iinfo(kind).max
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(places, kind)
+        for batch in batches:
+            for lang, row in _sequences(batch):
+                for _, _, hashes in _phrases(lang, row, shared.value, lengths, growth):
+                    at, times = np.unique(hashes & np.uint64(places - 1), return_counts=True)
+                    at = at.astype(np.int64)
+                    table[at] = np.minimum(table[at] + times, most)
+        for number in range(places // _SEGMENT_BITS):
+            part = table[number * _SEGMENT_BITS : (number + 1) * _SEGMENT_BITS]
+            if part.any():
+                yield segment_batch(number, part.tobytes())
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, total = -1, np.zeros(0, np.int64)
+        for batch in batches:
+            for segment, part in zip(batch.column("segment").to_pylist(), batch.column("plane")):
+                if segment != number:
+                    if number >= 0:
+                        yield segment_batch(number, np.packbits(total >= least, bitorder="little").tobytes())
+                    number, total = segment, np.zeros(_SEGMENT_BITS, np.int64)
+                total += np.frombuffer(part.as_buffer(), kind)
+        if number >= 0:
+            yield segment_batch(number, np.packbits(total >= least, bitorder="little").tobytes())
+
+    parts = codes.mapInArrow(tally, "segment long, plane binary").repartition("segment").sortWithinPartitions("segment")
+    return _filled(parts.mapInArrow(add_up, "segment long, plane binary"), places)
+
+
+def segment_batch(number: int, plane: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([plane], pa.binary())], names=["segment", "plane"])
+
+
+def counted(codes: DataFrame, prefixes: DataFrame, lengths: range, growth: int, least: int = 1) -> DataFrame:
     """Counts of all phrases that are ``growth`` words longer than one of the prefixes (0: the prefixes themselves).
 
-    Phrases are (lang, k, w1 to w5), padded by zeros. ``low_left`` to ``high_right`` are the least and greatest
-    code beside an occurrence, zero where no frequent word of the piece stands there. The map side adds
-    up stretches of a quarter of a million positions. Phrases of other prefixes with a marked hash come too.
+    Phrases are (lang, k, w1 to w5), padded by zeros; those counted fewer than ``least`` times are left out.
+    ``low_left`` to ``high_right`` are the least and greatest code beside an occurrence, zero where no
+    frequent word of the piece stands there. The map side adds up stretches of a quarter of a million
+    positions. Phrases of other prefixes with a marked hash come too.
     """
-    shared = codes.sparkSession.sparkContext.broadcast(bitmap_of(prefixes))
+    context = codes.sparkSession.sparkContext
+    shared = context.broadcast(bitmap_of(prefixes))
+    often = None
+    if least > 1:
+        occurrences = prefixes.agg(F.sum(F.element_at("firsts", -1))).first()[0] or 0
+        often = context.broadcast(frequent_hashes(codes, shared, lengths, growth, least, occurrences))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, row in _sequences(batch):
-                own = np.arange(LONGEST + 1, len(row) - LONGEST - 1)
-                own = own[row[own] != 0]
-                hashes = np.full(len(own), lang_hash(lang))
-                for k in range(1, lengths.stop):
-                    # ``own`` holds the positions where k words of a piece stand.
-                    hashes = prefix_hashes(hashes, [row[own + k - 1]])
-                    if k in lengths:
-                        at = own[marked(shared.value, hashes)]
-                        at = at[row[at + k] != 0] if growth else at
-                        if len(at):
-                            size = k + growth
-                            yield _grouped(lang, size, [row[at + i] for i in range(size)], row[at - 1], row[at + size])
-                    longer = row[own + k] != 0
-                    own, hashes = own[longer], hashes[longer]
+                for size, at, hashes in _phrases(lang, row, shared.value, lengths, growth):
+                    if often is not None:
+                        at = at[marked(often.value, hashes)]
+                    if len(at):
+                        yield _grouped(lang, size, [row[at + i] for i in range(size)], row[at - 1], row[at + size])
 
     parts = codes.mapInArrow(count, _COUNTED)
     sides = [F.min("low_left"), F.max("high_left"), F.min("low_right"), F.max("high_right")]
     names = ["low_left", "high_left", "low_right", "high_right"]
-    return parts.groupBy(*KEY).agg(F.sum("a").alias("a"), *(s.alias(n) for s, n in zip(sides, names)))
+    found = parts.groupBy(*KEY).agg(F.sum("a").alias("a"), *(s.alias(n) for s, n in zip(sides, names)))
+    return found.filter(F.col("a") >= least)
 
 
 # ---- the search ---------------------------------------------------------------------------------
@@ -323,7 +412,7 @@ def _prefix_of(phrases: DataFrame) -> DataFrame:
 
 def _grown(codes: DataFrame, opened: DataFrame, least: int) -> DataFrame:
     """All phrases one word longer than an opened prefix, found at least ``least`` times."""
-    found = _prefix_of(counted(codes, opened, range(1, LONGEST), 1).filter(F.col("a") >= least))
+    found = _prefix_of(counted(codes, opened, range(1, LONGEST), 1, least))
     parents = opened.select("lang", (F.col("k") + 1).alias("k"), *(F.col(f"w{i}").alias(f"p{i}") for i in range(1, LONGEST)), "firsts")
     keys = ["lang", "k", "p1", "p2", "p3", "p4"]
     return found.join(parents, keys).drop("p1", "p2", "p3", "p4")

@@ -76,7 +76,7 @@ def test_equals_counting_every_phrase(spark, hard_texts, least, top):
 def test_small_limits_change_nothing(spark, hard_texts, monkeypatch):
     """Long texts in chunks, counts passed on early, stretches cut, and a bitmap that lets nearly everything through."""
     rows, docs = hard_texts
-    for name, value in (("_CHUNK", 700), ("_DISTINCT", 9), ("_POSITIONS", 513), ("_BITS", 64), ("_SEGMENT_BITS", 64), ("OCTAVE", 2)):
+    for name, value in (("_CHUNK", 700), ("_DISTINCT", 9), ("_POSITIONS", 513), ("_BITS", 64), ("_SEGMENT_BITS", 64), ("_PLACES", 64), ("OCTAVE", 2)):
         monkeypatch.setattr(c, name, value)
     import cloudpickle
 
