@@ -30,6 +30,8 @@ END_ID = 1
 STEP_TOKENS = 1 << 16
 #: Left-overs that wait before a task packs them; more give better fits, each needs up to 8 KB.
 WAITING = 4096
+#: Words that a worker keeps between texts, in each of two generations; about 20 MB in all.
+CACHED = 60_000
 _ID_BYTES = 4
 _CHUNK = 1 << 22
 
@@ -46,7 +48,7 @@ class WordEncoder:
     text are those of its words in a row. Two generations of cached words bound the memory.
     """
 
-    def __init__(self, tokenizer: str, cached: int = 350_000):
+    def __init__(self, tokenizer: str, cached: int = CACHED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer

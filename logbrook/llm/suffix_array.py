@@ -30,6 +30,7 @@ KEY = 24
 _REACH = LENGTH - LEAD
 _WINDOW = LENGTH - LEAD + 1
 _PIECE = 1 << 20
+_SLICE = 1 << 16
 _PLACE_BITS = np.uint64(24)
 _PLACE = np.uint64((1 << 24) - 1)
 _BASE = 0x9E3779B97F4A7C15
@@ -48,8 +49,8 @@ _FOUND = "row long, start long, stop long, part int, digests binary, rows binary
 
 @lru_cache(maxsize=1)
 def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Random numbers for the bytes, and powers of the hash's base and of its inverse."""
-    size = 2 * _PIECE + 1
+    """Random numbers for the bytes, and powers of the hash's base and of its inverse over a slice: one megabyte."""
+    size = _SLICE + LEAD
     values = np.random.default_rng(1).integers(0, 1 << 64, 256, dtype=np.uint64)
     up = np.cumprod(np.full(size, _BASE, np.uint64))
     down = np.cumprod(np.full(size, pow(_BASE, -1, 1 << 64), np.uint64))
@@ -57,10 +58,13 @@ def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def lead_hashes(data: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the LEAD bytes from each position."""
+    """A 64-bit hash of the LEAD bytes from each position, slice by slice."""
     values, up, down = _powers()
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values[data] * up[: len(data)], dtype=np.uint64)))
-    hashes = (sums[LEAD:] - sums[:-LEAD]) * down[: len(data) - LEAD + 1]
+    hashes = np.empty(max(len(data) - LEAD + 1, 0), np.uint64)
+    for begin in range(0, len(hashes), _SLICE):
+        part = data[begin : begin + _SLICE + LEAD - 1]
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values[part] * up[: len(part)], dtype=np.uint64)))
+        hashes[begin : begin + _SLICE] = (sums[LEAD:] - sums[:-LEAD]) * down[: len(part) - LEAD + 1]
     hashes ^= hashes >> np.uint64(32)
     hashes *= np.uint64(0xD6E8FEB86659FD93)
     return hashes ^ (hashes >> np.uint64(29))
