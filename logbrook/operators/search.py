@@ -37,6 +37,11 @@ def all_of(predicates: Iterable[Column | None]) -> Column:
     return reduce(lambda a, b: a & b, (p for p in predicates if p is not None), F.lit(True))
 
 
+def any_of(predicates: Iterable[Column]) -> Column:
+    """OR of the predicates; false when there is none."""
+    return reduce(lambda a, b: a | b, predicates, F.lit(False))
+
+
 def _utc(moment: dt.datetime) -> dt.datetime:
     """Naive UTC, the form the tables hold."""
     if moment.tzinfo is None:

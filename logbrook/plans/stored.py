@@ -11,7 +11,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logbrook import schema as S
-from logbrook.functions.cursor import encode_cursor
 from logbrook.operators import analytics, ingest, saved, search
 from logbrook.plans import events_view as view
 from logbrook.plans.batch import (
@@ -26,7 +25,7 @@ from logbrook.plans.batch import (
     with_rollup,
 )
 from logbrook.session import work_dir
-from logbrook.sources import tables as t
+from logbrook.sources import files, retention, tables as t
 from logbrook.sources.lines import read_lines
 from logbrook.streaming import jobs
 from logbrook.streaming.sink import load_lines, replay_rejects
@@ -34,7 +33,17 @@ from logbrook.streaming.sink import load_lines, replay_rejects
 
 def _stored_logs(spark: SparkSession, sf_dir: str, label: str) -> t.LogTables:
     tables = t.LogTables(work_dir(spark, label))
-    t.write_logs(view.log_view(spark, sf_dir), tables.logs, "load/0", severity_index=True)
+    t.write_logs(view.log_view(spark, sf_dir), tables.logs, "load/0")
+    return tables
+
+
+def _day_files(spark: SparkSession, sf_dir: str, label: str) -> t.LogTables:
+    """Tables with several batches of a few days each, one of the days compacted into files by time."""
+    tables = t.LogTables(work_dir(spark, label))
+    logs = view.log_view(spark, sf_dir)
+    for part in range(3):
+        t.write_logs(logs.filter(F.dayofmonth("timestamp") % 3 == part), tables.logs, f"load-{part}/0")
+    t.compact_day(spark, tables.logs, dt.date(2024, 1, 30), partitions=8)
     return tables
 
 
@@ -207,30 +216,26 @@ def _compact_while_writing(spark, sf_dir):
     return t.read_logs(spark, tables.logs).select("log_uuid", "service_name", "log_date", "timestamp")
 
 
-def _all_pages(spark: SparkSession, logs: DataFrame, service: str, size: int) -> DataFrame:
-    """Every page up to an empty one, each written to shared storage; only the token comes to the driver."""
-    base, schema = work_dir(spark, "pages"), "log_uuid string, timestamp timestamp_ntz"
-    number, token = 0, None
+def _all_pages(spark: SparkSession, path: str, service: str, size: int) -> DataFrame:
+    """Every page up to the last, each written to shared storage; only the token stays on the driver."""
+    base, number, token = work_dir(spark, "pages"), 0, None
     while number == 0 or token:
-        path = f"{base}/page={number}"
-        search.search(logs, service, size, page_token=token).select("log_uuid", "timestamp").write.parquet(path)
-        last = spark.read.schema(schema).parquet(path).orderBy("timestamp", F.desc("log_uuid")).first()
-        token = encode_cursor(last["timestamp"], last["log_uuid"]) if last else None
-        number += 1
-    return spark.read.schema(schema).parquet(f"{base}/page=*")
+        page = files.page_stored(spark, path, service, size, page_token=token)
+        page.results.select("log_uuid", "timestamp").write.parquet(f"{base}/page={number}")
+        number, token = number + 1, page.next_cursor
+    return spark.read.schema("log_uuid string, timestamp timestamp_ntz").parquet(f"{base}/page=*")
 
 
 @register(
     "pages_equal_lines",
     with_logs(
         """SELECT md5(concat('f', chr(1), CAST(event_id AS VARCHAR), chr(1), 'equal')) AS log_uuid,
-        CAST(log_date AS TIMESTAMP) AS "timestamp" FROM logs
-        WHERE service_name = 'auth-service' AND event_id % 3 = 0"""
+        CAST(log_date AS TIMESTAMP) AS "timestamp" FROM logs WHERE service_name = 'auth-service'"""
     ),
 )
 def _pages_equal_lines(spark, sf_dir):
-    """All pages of rows that differ in their offset only, a day's worth at one time; the driver keeps the token."""
-    lines = view.log_view(spark, sf_dir).filter("event_id % 3 = 0").select(
+    """All pages of rows that differ in their offset only, a day's worth at one time."""
+    lines = view.log_view(spark, sf_dir).select(
         F.lit("f").alias("file"), F.col("event_id").alias("off"), F.lit("equal").alias("line"),
         F.col("service_name").alias("service"), "severity", F.lit("same").alias("message"), "host",
         F.lit(None).cast("map<string,string>").alias("metadata"),
@@ -238,7 +243,100 @@ def _pages_equal_lines(spark, sf_dir):
     )
     tables = t.LogTables(work_dir(spark, "pages-equal"))
     t.write_logs(ingest.enrich(lines), tables.logs, "load/0")
-    return _all_pages(spark, t.read_logs(spark, tables.logs), "auth-service", 500)
+    return _all_pages(spark, tables.logs, "auth-service", S.SEARCH_MAX_LIMIT)
+
+
+@register(
+    "stored_keyword",
+    with_logs(
+        f"""SELECT {_ROW} FROM logs WHERE service_name = 'payment-service' AND message LIKE '%user_id=13%'
+        {_NEWEST} LIMIT 500"""
+    ),
+)
+def _stored_keyword(spark, sf_dir):
+    """Only files whose trigrams may hold the keyword are opened."""
+    tables = _day_files(spark, sf_dir, "stored-keyword")
+    return shown(files.search_stored(spark, tables.logs, "payment-service", 500, q="USER_ID=13"))
+
+
+@register(
+    "stored_newest",
+    with_logs(f"SELECT {_ROW} FROM logs WHERE service_name = 'auth-service' {_NEWEST} LIMIT 50"),
+)
+def _stored_newest(spark, sf_dir):
+    """Without a start in time: files are opened newest first until no other can hold a row of the page."""
+    tables = _day_files(spark, sf_dir, "stored-newest")
+    return shown(files.page_stored(spark, tables.logs, "auth-service", 50).results)
+
+
+@register(
+    "stored_severity",
+    with_logs(
+        f"""SELECT {_ROW} FROM logs WHERE service_name = 'report-service' AND severity IN ('WARN', 'WARNING')
+        AND "timestamp" <= TIMESTAMP '2024-01-20 12:00:00' {_NEWEST} LIMIT 200"""
+    ),
+)
+def _stored_severity(spark, sf_dir):
+    """Files without a row of the wanted severities are not opened."""
+    tables = _day_files(spark, sf_dir, "stored-severity")
+    found = files.search_stored(
+        spark, tables.logs, "report-service", 200, severity="warn", fold_warning=True, end=dt.datetime(2024, 1, 20, 12)
+    )
+    return shown(found)
+
+
+@register("retry_after_compaction", with_logs('SELECT log_uuid, service_name, log_date, "timestamp" FROM logs'))
+def _retry_after_compaction(spark, sf_dir):
+    """A batch that stored some rows only is compacted twice, then stored whole; others arrive late."""
+    tables = t.LogTables(work_dir(spark, "retry-compaction"))
+    logs = view.log_view(spark, sf_dir)
+    first, late = (logs.filter(F.col("event_id") % 2 == n) for n in range(2))
+    t.write_logs(first.filter("event_id % 4 = 0"), tables.logs, "first/0")
+    t.compact_day(spark, tables.logs, dt.date(2024, 1, 10))
+    t.compact_day(spark, tables.logs, dt.date(2024, 1, 10))
+    t.write_logs(late, tables.logs, "late/0")
+    t.write_logs(first, tables.logs, "first/0")
+    t.compact_day(spark, tables.logs, dt.date(2024, 1, 11))
+    return t.read_logs(spark, tables.logs).select("log_uuid", "service_name", "log_date", "timestamp")
+
+
+@register("retry_after_fold", with_rollup("SELECT * FROM rollup"))
+def _retry_after_fold(spark, sf_dir):
+    """Batches 0 and 2 are folded, batch 2 with some rows only; then batch 1 arrives and batch 2 again."""
+    tables = t.LogTables(work_dir(spark, "retry-fold"))
+    logs = view.log_view(spark, sf_dir)
+    parts = [logs.filter(F.dayofmonth("timestamp") % 3 == i) for i in range(3)]
+    t.write_rollup(parts[0], tables.hourly, "run-1", 0)
+    t.write_rollup(parts[2].filter("event_id % 2 = 0"), tables.hourly, "run-1", 2)
+    t.fold_rollup(spark, tables)
+    t.write_rollup(parts[1], tables.hourly, "run-1", 1)
+    t.fold_rollup(spark, tables)
+    t.write_rollup(parts[2], tables.hourly, "run-1", 2)
+    return t.read_rollup(spark, tables)
+
+
+@register(
+    "retained",
+    with_logs(
+        """SELECT 'rows' AS kind, severity AS name, count(*) AS n FROM logs GROUP BY severity
+        UNION ALL SELECT 'counted', service_name, count(*) FROM logs GROUP BY service_name"""
+    ),
+)
+def _retained(spark, sf_dir):
+    """Loads, a repeated load, a compaction and folds; then everything that readers cannot reach is removed."""
+    tables = t.LogTables(work_dir(spark, "retained"))
+    lines = view.lines_of(view.table(spark, sf_dir, "events"))
+    lines = lines.select(F.lit("events").alias("file"), F.col("event_id").alias("off"), "line")
+    for run in ("a", "b", "a"):
+        load_lines(lines.filter((F.col("off") % 2 == 0) == (run == "a")), tables, run)
+        t.fold_rollup(spark, tables)
+    t.compact_day(spark, tables.logs, dt.date(2024, 1, 10))
+    later = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(days=30)
+    retention.vacuum(spark, tables, later)
+    rows = t.read_logs(spark, tables.logs).groupBy(F.lit("rows").alias("kind"), F.col("severity").alias("name"))
+    hours = t.read_rollup(spark, tables).groupBy(F.lit("counted").alias("kind"), F.col("service_name").alias("name"))
+    total = sum(F.col(name) for name in S.COUNT_COLUMNS)
+    return rows.agg(F.count("*").alias("n")).unionByName(hours.agg(F.sum(total).alias("n")))
 
 
 @register("compact_day", with_logs('SELECT log_uuid, service_name, log_date, "timestamp" FROM logs'))

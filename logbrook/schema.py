@@ -36,7 +36,7 @@ LOG_COLUMNS = (
     "metadata",
 )
 
-# A stored row also remembers which micro-batch wrote it (see streaming.sink).
+# A stored row also remembers which batch wrote it (see streaming.sink); that and the day are folders.
 LOGS_SCHEMA = T.StructType(
     [
         T.StructField("timestamp", T.TimestampNTZType()),
@@ -50,7 +50,6 @@ LOGS_SCHEMA = T.StructType(
         T.StructField("service_name", T.StringType()),
     ]
 )
-LOGS_PARTITIONING = ("log_date", "service_name")
 
 # Additive partial counts. Several rows may exist for one (service, hour): one per
 # micro-batch that touched it. They are summed on read.

@@ -1,21 +1,21 @@
 """The stored tables: raw logs, hourly partials, rejects, and the host layout.
 
-All are plain Parquet folders below one root.
-
-=============  ==========================================  ==============================
-folder         layout                                      written by
-=============  ==========================================  ==============================
-``logs``       ``ingest_id= / log_date= / service_name=``  overwrite of its own batch
-``logs-compactions``  ``generation=``, batches covered     after its rows are complete
-``hourly``     ``run_id= / batch_id=``, additive counts    overwrite of its own batch
-``rejects``    ``run_id= / batch_id=``                     overwrite of its own batch
-``folds``      ``fold_id=``, hourly counts summed up       one folder per fold
-``fold_lists`` ``fold_id=``, what a fold will cover        before it is summed up
-``folded``     ``fold_id=``, what a fold covers            after its fold is complete
-``resolved``   ``replay_id=``, rejects that passed later   overwrite of its own replay
-``by_host``    ``ingest_id= / log_date=``, by host         overwrite of its own batch
-``saved_queries``  plain                                   append
-=============  ==========================================  ==============================
+All are plain Parquet folders below one root. Every attempt to store a batch has folders of its own,
+``ingest_id= / attempt=``, and is read once a commit names it (see ``commits``).
+
+=================  ====================================  ===================================
+folder             layout below the attempt              holds
+=================  ====================================  ===================================
+``logs``           ``log_date=``, by service and time    rows; compactions are batches, too
+``logs-files``     plain                                 manifest of the files of ``logs``
+``hourly``         plain                                 additive counts of a batch
+``folds``          plain                                 hourly counts of many batches summed up
+``rejects``        plain                                 lines set aside
+``resolved``       plain                                 rejects that passed in a replay
+``by_host``        ``log_date=``, by host and time       rows again
+``commits``        ``commit_id=``                        what is visible
+``saved_queries``  plain, appended                       saved searches
+=================  ====================================  ===================================
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from dataclasses import dataclass
-from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -31,11 +30,7 @@ from logbrook import schema as S
 from logbrook.operators import rollup
 from logbrook.operators.search import newest_first
 from logbrook.session import read_table
-
-MAX_LAYOUT_PARTITIONS = 20_000
-
-_BATCH_KEY = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
-_FOLD_KEY = [T.StructField("fold_id", T.LongType())]
+from logbrook.sources import commits as c, files
 
 
 @dataclass(frozen=True)
@@ -68,95 +63,94 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _day(day: dt.date) -> Column:
-    return F.col("log_date") == F.lit(day)
+# --- batches --------------------------------------------------------------------------
 
 
-# --- raw logs -----------------------------------------------------------------------
+def stage(rows: DataFrame, path: str, batch: str) -> list[c.Entry]:
+    """Write the rows of a batch's attempt; readers see them when the returned entries are committed."""
+    attempt = c.new_attempt()
+    rows.write.parquet(c.folder(path, batch, attempt))
+    return [c.Entry(c.ADD, c.place(path)[1], batch, attempt)]
 
 
-COMPACTED = "compacted-"
+def _commit(spark: SparkSession, path: str, entries: list[c.Entry]) -> None:
+    c.commit(spark, c.place(path)[0], entries)
 
 
-def write_logs(
-    logs: DataFrame,
-    path: str,
-    ingest_id: str | None = None,
-    severity_index: bool = False,
-    partitions: int | None = None,
-) -> None:
-    """Store the rows of one batch in a folder of its own, newest first within each file.
-
-    The folder is named by ``ingest_id`` (a new one if not given). Writing the same batch again
-    replaces it, and writers of different batches have nothing in common, not even a folder for
-    temporary files. Rebalancing brings the rows of a (day, service) together and, at run time,
-    cuts a group that is too large into several tasks and files. A plain repartition by the same
-    columns would put a hot service's whole day into one task. ``partitions`` should be
-    about the number of such groups (see ``layout_partitions``): with far fewer, every
-    task would hold pieces of many groups and write many small files.
+def _live(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """All visible rows of a table without days, with their batch as ``ingest_id``; None where there is no batch."""
+    live = c.snapshot(spark, path).live
+    if not live:
+        return None
+    folders = [c.folder(path, e.batch, e.attempt) for e in live]
+    return c.read_folders(spark, path, folders, T.StructType([*schema, T.StructField("ingest_id", T.StringType())]))
+
+
+def batch_name(run_id: str, batch_id: int) -> str:
+    """Batch ids are unique within a checkpoint only, so a job with a new checkpoint needs a new ``run_id``."""
+    return f"{run_id}/{batch_id}"
+
+
+# --- raw logs -----------------------------------------------------------------------
+
+
+def stage_logs(
+    logs: DataFrame, path: str, batch: str, partitions: int | None = None, grams: bool = True
+) -> list[c.Entry]:
+    """Write the log rows of a batch's attempt and their manifest; returns what to commit.
+
+    A file holds rows of one day, by service and newest first. Rebalancing brings the rows of a day
+    together and, at run time, cuts a day that is too large into several tasks and files. ``grams``: whether
+    the manifest has the trigrams of the messages.
     """
+    attempt = c.new_attempt()
     number = [] if partitions is None else [partitions]
-    rows = logs.select(*S.LOG_COLUMNS).hint("rebalance", *number, *S.LOGS_PARTITIONING)
-    _write_days(rows, f"{path}/ingest_id={_folder_name(ingest_id or uuid.uuid4().hex)}", severity_index)
+    rows = logs.select(*S.LOG_COLUMNS).hint("rebalance", *number, "log_date")
+    _write_days(rows, c.folder(path, batch, attempt))
+    return files.describe(logs.sparkSession, path, batch, attempt, grams)
 
 
-def _write_days(rows: DataFrame, folder: str, severity_index: bool) -> None:
-    writer = (
-        rows.sortWithinPartitions(*S.LOGS_PARTITIONING, *newest_first())
-        .write.mode("overwrite")
-        .partitionBy(*S.LOGS_PARTITIONING)
-    )
-    if severity_index:
-        writer = writer.option("parquet.bloom.filter.enabled#severity", "true")
-    writer.parquet(folder)
+def _write_days(rows: DataFrame, folder: str) -> None:
+    order = ["log_date", "service_name", *newest_first()]
+    rows.sortWithinPartitions(*order).write.partitionBy("log_date").parquet(folder)
 
 
-def layout_partitions(logs: DataFrame) -> int:
-    """Shuffle partitions for ``write_logs``: one per (day, service), within bounds.
+def write_logs(
+    logs: DataFrame, path: str, ingest_id: str | None = None, partitions: int | None = None, grams: bool = True
+) -> None:
+    """Store the rows of one batch, named by ``ingest_id`` (a new name if not given).
 
-    Not fewer than the session's setting, because small partitions are merged at run time,
-    and not so many that the shuffle's own bookkeeping grows too large.
+    Writing the same batch again replaces it, also after a compaction. Writers of different batches have
+    nothing in common, not even a folder for temporary files.
     """
-    groups = logs.select(*S.LOGS_PARTITIONING).distinct().count()
-    least = int(logs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(groups, MAX_LAYOUT_PARTITIONS))
+    batch = ingest_id or uuid.uuid4().hex
+    _commit(logs.sparkSession, path, stage_logs(logs, path, batch, partitions, grams))
 
 
-def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    """The log table. Filters on ``log_date`` and ``service_name`` prune folders.
+def read_logs(
+    spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None
+) -> DataFrame:
+    """The log table, optionally some days of it only.
 
-    Where days were compacted, the batches that a finished compaction covers are left out, and so
-    are the rows of an unfinished one.
+    The commit log is resolved first, and the scan is given the live folders: covered and replaced
+    batches, and days outside the bounds, are not listed. Further filters on ``log_date`` prune folders,
+    those on service, severity and time skip row groups.
     """
-    stored = read_table(spark, path, S.LOGS_SCHEMA)
-    if stored is None:
-        return _empty(spark, S.LOGS_SCHEMA)
-    names = S.LOGS_SCHEMA.fieldNames()
-    done = read_table(spark, _compactions(path), _COVERED)
-    if done is None:
-        return stored.filter(~F.col("ingest_id").startswith(COMPACTED)).select(names)
-    finished = done.select("generation").distinct()
-    rows = stored.join(finished, F.col("ingest_id") == F.col("generation"), "left")
-    rows = rows.filter(~F.col("ingest_id").startswith(COMPACTED) | F.col("generation").isNotNull())
-    return rows.join(done, ["ingest_id", "log_date"], "left_anti").select(names)
-
+    return _visible(spark, path, first, last).select(S.LOGS_SCHEMA.fieldNames())
 
-# --- tables with one folder per batch -----------------------------------------------
 
+def _visible(spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    seen = c.snapshot(spark, path, first, last)
+    folders = [c.folder(path, e.batch, e.attempt, e.day) for e in seen.live if e.n_rows]
+    return files.stored_rows(spark, path, folders, seen)
 
-def write_batch(rows: DataFrame, path: str, run_id: str, batch_id: int) -> None:
-    """Write the rows of one batch. Writing the same batch again replaces them.
 
-    Batch ids are unique within a checkpoint only, so a job with a new checkpoint needs a
-    new ``run_id``. The folder of the batch is named, not found from its rows: a batch
-    that has none any more replaces what an earlier try wrote, too.
-    """
-    rows.write.mode("overwrite").parquet(f"{path}/run_id={_folder_name(run_id)}/batch_id={batch_id}")
+# --- tables with one folder per batch -----------------------------------------------
 
 
-def _folder_name(value: str) -> str:
-    """A partition value as Spark reads it back from a folder name."""
-    return quote(value, safe=" !$&'()+,-.;<>@_`|~") or "__HIVE_DEFAULT_PARTITION__"
+def write_batch(rows: DataFrame, path: str, run_id: str, batch_id: int) -> None:
+    """Write the rows of one batch. Writing the same batch again replaces them, even by none."""
+    _commit(rows.sparkSession, path, stage(rows, path, batch_name(run_id, batch_id)))
 
 
 def write_rollup(logs: DataFrame, path: str, run_id: str, batch_id: int) -> None:
@@ -164,50 +158,40 @@ def write_rollup(logs: DataFrame, path: str, run_id: str, batch_id: int) -> None
     write_batch(rollup.hourly_partials(logs), path, run_id, batch_id)
 
 
-def _last_fold(spark: SparkSession, tables: LogTables) -> tuple[int, DataFrame]:
-    """Newest complete fold and, for each run, the last batch in it (one row per run)."""
-    schema = T.StructType([*_BATCH_KEY, *_FOLD_KEY])
-    folded = read_table(spark, tables.path("folded"), schema)
-    newest = None if folded is None else folded.agg(F.max("fold_id")).first()[0]
-    if newest is None:
-        return 0, _empty(spark, T.StructType(_BATCH_KEY))
-    return newest, folded.filter(F.col("fold_id") == newest).select("run_id", "batch_id")
+@dataclass(frozen=True)
+class _Counts:
+    """The newest fold that holds (its batch and attempt, or None) and the batches since."""
+
+    fold: tuple[str, str] | None
+    rest: list[tuple[str, str]]
 
 
-def _upto(batches: DataFrame, last: DataFrame, how: str) -> DataFrame:
-    """Rows of batches up to the last one of their run, or (``left_anti``) of all others.
+def _counts(spark: SparkSession, tables: LogTables) -> _Counts:
+    """Resolve folds: one holds as long as no batch in it was stored again."""
+    log = c.entries(spark, tables.root)
+    if log is None:
+        return _Counts(None, [])
+    hourly = c.by_batch(log.filter(F.col("table") == "hourly"))
+    covers = hourly.select("latest", F.explode("covers").alias("c")).groupBy(F.col("c.by").alias("attempt"))
+    holds = covers.agg(F.bool_and(F.col("c.attempt") == F.col("latest")).alias("holds")).filter("holds")
+    folds = c.by_batch(log.filter(F.col("table") == "folds")).select("batch", F.col("latest").alias("attempt"))
+    newest = folds.join(holds, "attempt", "left_semi").orderBy(F.col("batch").cast("long").desc()).first()
+    by = newest["attempt"] if newest else ""
+    rest = hourly.filter(~F.exists("covers", lambda x: x["by"] == by)).select("batch", "latest")
+    rest = rest.filter(F.col("latest").isNotNull()).orderBy("latest")
+    return _Counts((newest["batch"], by) if newest else None, [(r["batch"], r["latest"]) for r in rest.collect()])
 
-    A join, so that the plan stays as small with thousands of runs as with one.
-    """
-    bound = last.select(F.col("run_id").alias("_run"), F.col("batch_id").alias("_last"))
-    return batches.join(bound, (F.col("run_id") == F.col("_run")) & (F.col("batch_id") <= F.col("_last")), how)
-
-
-def _partials(
-    spark: SparkSession, tables: LogTables, upto: DataFrame | None = None
-) -> DataFrame | None:
-    """The newest fold and the batches it does not cover, optionally only up to some batch."""
-    names = S.HOURLY_SCHEMA.fieldNames()
-    schema = T.StructType([*S.HOURLY_SCHEMA, *_BATCH_KEY])
-    batches = read_table(spark, tables.hourly, schema)
-    fold_id, covered = _last_fold(spark, tables)
-    if batches is None:
-        if not fold_id:
-            return None
-        batches = _empty(spark, schema)
-    rest = _upto(batches, covered, "left_anti")
-    if upto is not None:
-        rest = _upto(rest, upto, "left_semi")
-    if not fold_id:
-        return rest.select(names)
-    base = read_table(spark, tables.path("folds"), T.StructType([*S.HOURLY_SCHEMA, *_FOLD_KEY]))
-    return base.filter(F.col("fold_id") == fold_id).select(names).unionByName(rest.select(names))
+
+def _partials_of(spark: SparkSession, tables: LogTables, counts: _Counts) -> DataFrame:
+    fold = [c.folder(tables.path("folds"), *counts.fold)] if counts.fold else []
+    summed = c.read_folders(spark, tables.path("folds"), fold, S.HOURLY_SCHEMA)
+    rest = [c.folder(tables.hourly, *batch) for batch in counts.rest]
+    return summed.unionByName(c.read_folders(spark, tables.hourly, rest, S.HOURLY_SCHEMA))
 
 
 def read_partials(spark: SparkSession, tables: LogTables) -> DataFrame:
-    """Hourly partials; several rows may belong to one service and hour."""
-    stored = _partials(spark, tables)
-    return _empty(spark, S.HOURLY_SCHEMA) if stored is None else stored
+    """Hourly partials; several rows may belong to one service and hour. Folded batches are not read."""
+    return _partials_of(spark, tables, _counts(spark, tables))
 
 
 def read_rollup(spark: SparkSession, tables: LogTables) -> DataFrame:
@@ -221,30 +205,29 @@ def read_registry(spark: SparkSession, tables: LogTables) -> DataFrame:
 
 
 def fold_rollup(spark: SparkSession, tables: LogTables) -> int | None:
-    """Sum the last fold and the batches since into a new fold; returns its id.
+    """Sum the last fold and the batches since into a new fold; returns its number.
 
-    Readers switch to the fold when the list of batches it covers is written, which is the
-    last step. Nothing is deleted, so readers and writers may go on meanwhile, and an
-    interrupted fold leaves the table as it was. Folders of covered batches and of older
-    folds are no longer read and can be removed by retention.
+    The commit names every batch in the fold, with its attempt. So a batch that arrives late is added to it,
+    and when one is stored again the fold no longer holds: readers go back to an older one and
+    the batches since, until the next fold. Nothing is deleted, and an interrupted fold is never seen.
     """
-    batches = read_table(spark, tables.hourly, T.StructType([*S.HOURLY_SCHEMA, *_BATCH_KEY]))
-    if batches is None:
+    counts = _counts(spark, tables)
+    log = c.entries(spark, tables.root)
+    if log is None:
         return None
-    # Fixed before the partials are read: a batch that arrives later is not covered.
-    last_id, covered = _last_fold(spark, tables)
-    known = batches.select("run_id", "batch_id").unionByName(covered)
-    found = known.groupBy("run_id").agg(F.max("batch_id").alias("batch_id"))
-    fold_id = last_id + 1
-    listed = f"{tables.path('fold_lists')}/fold_id={fold_id}"
-    found.write.mode("overwrite").parquet(listed)
-    upto = spark.read.schema(T.StructType(_BATCH_KEY)).parquet(listed)
-    if _upto(upto, covered, "left_anti").isEmpty():
-        return last_id or None
-    summed = rollup.fold_partials(_partials(spark, tables, upto)).repartitionByRange("hour_bucket")
-    summed.write.mode("overwrite").parquet(f"{tables.path('folds')}/fold_id={fold_id}")
-    upto.coalesce(1).write.mode("overwrite").parquet(f"{tables.path('folded')}/fold_id={fold_id}")
-    return fold_id
+    last = log.filter(F.col("table") == "folds").agg(F.max(F.col("batch").cast("long"))).first()[0]
+    if not counts.rest:
+        return last
+    number = (last or 0) + 1
+    summed = rollup.fold_partials(_partials_of(spark, tables, counts)).repartitionByRange("hour_bucket")
+    entries = stage(summed, tables.path("folds"), str(number))
+    covered = list(counts.rest)
+    if counts.fold:
+        before = log.filter((F.col("table") == "hourly") & (F.col("by") == counts.fold[1])).select("batch", "attempt")
+        covered += [(r["batch"], r["attempt"]) for r in before.distinct().collect()]
+    entries += [c.Entry(c.COVER, "hourly", batch, attempt, by=entries[0].attempt) for batch, attempt in covered]
+    c.commit(spark, tables.root, entries)
+    return number
 
 
 # --- rejects ------------------------------------------------------------------------
@@ -254,9 +237,14 @@ def write_rejects(rejects: DataFrame, path: str, run_id: str, batch_id: int) ->
     write_batch(rejects, path, run_id, batch_id)
 
 
+def stage_resolved(reject_ids: DataFrame, tables: LogTables, replay_id: str) -> list[c.Entry]:
+    """Take rejects off the pending ones, once committed."""
+    return stage(reject_ids.select("reject_id"), tables.path("resolved"), replay_id)
+
+
 def _reject_id() -> Column:
     """One arrival of a line: the same broken line in a later batch is a reject of its own."""
-    parts = ("run_id", "batch_id", "file", "off", "line")
+    parts = ("ingest_id", "file", "off", "line")
     return F.md5(F.concat_ws("\u0001", *(F.coalesce(F.col(p).cast("string"), F.lit("\u0000")) for p in parts)))
 
 
@@ -265,24 +253,18 @@ def read_rejects(
 ) -> DataFrame:
     """Rejects that no replay has resolved; ``except_replay`` is a replay not to count."""
     id_field = T.StructField("reject_id", T.StringType())
-    stored = read_table(spark, tables.rejects, T.StructType([*S.REJECTS_SCHEMA, *_BATCH_KEY]))
+    stored = _live(spark, tables.rejects, S.REJECTS_SCHEMA)
     if stored is None:
         return _empty(spark, T.StructType([*S.REJECTS_SCHEMA, id_field]))
     pending = stored.select(*S.REJECTS_SCHEMA.fieldNames(), _reject_id().alias("reject_id"))
-    resolved_schema = T.StructType([id_field, T.StructField("replay_id", T.StringType())])
-    passed = read_table(spark, tables.path("resolved"), resolved_schema)
+    passed = _live(spark, tables.path("resolved"), T.StructType([id_field]))
     if passed is None:
         return pending
     if except_replay is not None:
-        passed = passed.filter(F.col("replay_id") != except_replay)
+        passed = passed.filter(F.col("ingest_id") != except_replay)
     return pending.join(passed, "reject_id", "left_anti")
 
 
-def mark_resolved(reject_ids: DataFrame, tables: LogTables, replay_id: str) -> None:
-    path = f"{tables.path('resolved')}/replay_id={replay_id}"
-    reject_ids.select("reject_id").write.mode("overwrite").parquet(path)
-
-
 # --- saved searches -----------------------------------------------------------------
 
 
@@ -297,63 +279,72 @@ def read_saved_queries(spark: SparkSession, tables: LogTables) -> DataFrame:
     return _empty(spark, S.SAVED_QUERIES_SCHEMA) if stored is None else stored
 
 
-# --- other layouts ------------------------------------------------------------------
+# --- compaction -----------------------------------------------------------------------
 
 
+COMPACTED = "compacted-"
 _COVERED = T.StructType(
     [
         T.StructField("ingest_id", T.StringType()),
+        T.StructField("attempt", T.StringType()),
         T.StructField("log_date", T.DateType()),
-        T.StructField("generation", T.StringType()),
+        T.StructField("n_rows", T.LongType()),
     ]
 )
 
 
-def _compactions(path: str) -> str:
-    return f"{path.rstrip('/')}-compactions"
+def _begun(path: str, generation: str) -> str:
+    return f"{path.rstrip('/')}-begun/generation={generation}"
 
 
 def begin_compaction(spark: SparkSession, path: str, day: dt.date) -> str:
-    """Fix the batches that a compaction of one day will cover; returns its generation."""
+    """Fix the folders that a compaction of one day will cover; returns its generation."""
     generation = f"{COMPACTED}{day}-{uuid.uuid4().hex[:12]}"
-    covered = read_logs(spark, path).filter(_day(day)).select("ingest_id", "log_date").distinct()
-    covered.coalesce(1).write.parquet(f"{_compactions(path)}-begun/generation={generation}")
+    live = [e for e in c.snapshot(spark, path, day, day).live if e.day == day and e.n_rows]
+    rows = [(e.batch, e.attempt, e.day, e.n_rows) for e in live]
+    spark.createDataFrame(rows, _COVERED).coalesce(1).write.parquet(_begun(path, generation))
     return generation
 
 
-def finish_compaction(
-    spark: SparkSession,
-    path: str,
-    generation: str,
-    partitions: int | None = None,
-    severity_index: bool = False,
-) -> int:
-    """Write the covered rows into few, time-ordered files and switch to them; returns their number.
-
-    Readers switch when the list of covered batches is written, which is the last step. Nothing is
-    deleted: batches that arrive meanwhile, of whatever day, are not on the list and stay readable,
-    and an interrupted compaction leaves the table as it was. Range partitioning splits a hot
-    service by time, which also gives files narrow time ranges to skip by. ``partitions`` sets
-    the number of ranges; the session's shuffle partitions otherwise.
+def finish_compaction(spark: SparkSession, path: str, generation: str, partitions: int | None = None) -> int:
+    """Write the covered rows into few files, by service and time, and switch to them; returns their number.
+
+    Readers switch with the commit, which is the last step and names the covered folders. Nothing is
+    deleted: batches that arrive meanwhile, or are stored again, are not named and stay readable, and an
+    interrupted compaction leaves the table as it was. Rows keep the batch and attempt they came from, so
+    those of a batch that is stored again later can be told. Range partitioning splits a hot service by
+    time, which gives files narrow ranges to choose by. ``partitions`` sets the number of ranges.
     """
-    begun = f"{_compactions(path)}-begun/generation={generation}"
-    covered = spark.read.schema(T.StructType(_COVERED.fields[:2])).parquet(begun)
-    days = covered.agg(F.min("log_date").alias("first"), F.max("log_date").alias("last")).first()
-    if days["first"] is None:
+    listed = spark.read.schema(_COVERED).parquet(_begun(path, generation)).collect()
+    if not listed:
         return 0
-    rows = read_logs(spark, path).filter(F.col("log_date").between(F.lit(days["first"]), F.lit(days["last"])))
-    rows = rows.join(covered, ["ingest_id", "log_date"], "left_semi").select(*S.LOG_COLUMNS)
+    days = [r["log_date"] for r in listed]
+    seen = c.snapshot(spark, path, min(days), max(days))
+    folders = [c.folder(path, r["ingest_id"], r["attempt"], r["log_date"]) for r in listed]
+    origin = F.coalesce("origin", files.origin_of(F.col("ingest_id"), F.col("attempt"))).alias("origin")
+    rows = files.stored_rows(spark, path, folders, seen).select(*S.LOG_COLUMNS, origin)
     number = [] if partitions is None else [partitions]
+    attempt = c.new_attempt()
     sorted_rows = rows.repartitionByRange(*number, "log_date", "service_name", F.desc("timestamp"))
-    folder = f"{path}/ingest_id={generation}"
-    _write_days(sorted_rows, folder, severity_index)
-    count = rows.count()
-    schema = T.StructType([f for f in S.LOGS_SCHEMA if f.name != "ingest_id"])
-    copied = read_table(spark, folder, schema)
-    if (0 if copied is None else copied.count()) != count:
+    _write_days(sorted_rows, c.folder(path, generation, attempt))
+    entries = files.describe(spark, path, generation, attempt)
+    copied = sum(e.n_rows for e in entries)
+    if not seen.replaced and copied != sum(r["n_rows"] for r in listed):
         raise RuntimeError(f"the copy {generation} is incomplete; the table was not touched")
-    covered.coalesce(1).write.mode("overwrite").parquet(f"{_compactions(path)}/generation={generation}")
-    return count
+    table = c.place(path)[1]
+    covers = {(r["ingest_id"], r["attempt"], r["log_date"]) for r in listed}
+    covers |= _origins(spark, path, {r["attempt"] for r in listed}, set(seen.replaced))
+    entries += [c.Entry(c.COVER, table, batch, a, day, by=attempt) for batch, a, day in sorted(covers)]
+    _commit(spark, path, entries)
+    return copied
+
+
+def _origins(spark: SparkSession, path: str, attempts: set[str], replaced: set[tuple[str, str]]) -> set[tuple]:
+    """Folders whose rows lie in compactions that are compacted again."""
+    root, table = c.place(path)
+    covers = c.entries(spark, root, table).filter(F.col("by").isin(sorted(attempts)))
+    found = {(r["batch"], r["attempt"], r["day"]) for r in covers.select("batch", "attempt", "day").collect()}
+    return {line for line in found if line[:2] not in replaced}
 
 
 def compact_day(spark: SparkSession, path: str, day: dt.date, **options) -> int:
@@ -361,10 +352,11 @@ def compact_day(spark: SparkSession, path: str, day: dt.date, **options) -> int:
     return finish_compaction(spark, path, begin_compaction(spark, path, day), **options)
 
 
-def write_logs_by_host(
-    logs: DataFrame, path: str, ingest_id: str | None = None, partitions: int | None = None
-) -> None:
-    """Second layout for searches by host over all services; a batch replaces itself only.
+# --- other layouts ------------------------------------------------------------------
+
+
+def stage_logs_by_host(logs: DataFrame, path: str, batch: str, partitions: int | None = None) -> list[c.Entry]:
+    """Write a batch's rows once more for searches by host over all services; returns what to commit.
 
     Rows are range-partitioned by day, host and time: a host's rows lie in few files, and
     a hot host is split by time. Rows without a key column are left out.
@@ -372,19 +364,27 @@ def write_logs_by_host(
     keys = ["host", "service_name", "log_date", "timestamp", "log_uuid"]
     order = ["log_date", "host", *newest_first()]
     number = [] if partitions is None else [partitions]
+    attempt = c.new_attempt()
     (
         logs.dropna(subset=keys)
         .select(*S.LOG_COLUMNS)
         .repartitionByRange(*number, "log_date", "host", F.desc("timestamp"))
         .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .partitionBy("log_date")
-        .parquet(f"{path}/ingest_id={_folder_name(ingest_id or uuid.uuid4().hex)}")
+        .write.partitionBy("log_date")
+        .parquet(c.folder(path, batch, attempt))
     )
+    return [c.Entry(c.ADD, c.place(path)[1], batch, attempt)]
+
+
+def write_logs_by_host(
+    logs: DataFrame, path: str, ingest_id: str | None = None, partitions: int | None = None
+) -> None:
+    """Store the host layout of one batch; writing it again replaces it."""
+    _commit(logs.sparkSession, path, stage_logs_by_host(logs, path, ingest_id or uuid.uuid4().hex, partitions))
 
 
 def read_logs_by_host(spark: SparkSession, path: str) -> DataFrame:
-    stored = read_table(spark, path, S.LOGS_SCHEMA)
+    stored = _live(spark, path, T.StructType([f for f in S.LOGS_SCHEMA if f.name != "ingest_id"]))
     return (_empty(spark, S.LOGS_SCHEMA) if stored is None else stored).drop("ingest_id")
 
 

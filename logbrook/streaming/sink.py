@@ -9,9 +9,10 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logbrook.operators import ingest
+from logbrook.operators import ingest, rollup
 from logbrook.session import work_dir
 from logbrook.sources import tables as t
+from logbrook.sources.commits import commit
 
 
 @contextmanager
@@ -49,18 +50,19 @@ def store_batch(
     micro-batch is kept in the executors; a lost executor's share is recomputed from the
     source's byte ranges. A bulk load names a ``staging`` folder instead.
 
-    Every table has a folder for the batch, and a batch written again replaces it; so a
-    repeated or interrupted batch counts once, and other writers are never touched.
-    ``by_host`` also keeps the layout for searches by host.
+    All tables become visible with one commit, so a reader sees the batch whole or not at all. A
+    batch written again replaces it; so a repeated or interrupted batch counts once, and other
+    writers are never touched. ``by_host`` also keeps the layout for searches by host.
     """
+    batch = t.batch_name(run_id, batch_id)
     with _kept(events, staging) as checked:
         logs = ingest.accepted(checked)
-        ingest_id = f"{run_id}/{batch_id}"
-        t.write_logs(logs, tables.logs, ingest_id, partitions=t.layout_partitions(logs))
+        entries = t.stage_logs(logs, tables.logs, batch)
         if by_host:
-            t.write_logs_by_host(logs, tables.by_host, ingest_id)
-        t.write_rollup(logs, tables.hourly, run_id, batch_id)
-        t.write_rejects(ingest.rejected(checked), tables.rejects, run_id, batch_id)
+            entries += t.stage_logs_by_host(logs, tables.by_host, batch)
+        entries += t.stage(rollup.hourly_partials(logs), tables.hourly, batch)
+        entries += t.stage(ingest.rejected(checked), tables.rejects, batch)
+    commit(events.sparkSession, tables.root, entries)
 
 
 class BatchSink:
@@ -102,17 +104,17 @@ def replay_rejects(
 ) -> None:
     """Check the rejects again; store those that pass and keep the others.
 
-    ``repair`` may change the ``line`` before the check. Rows are stored first and taken
-    off the rejects afterwards. An interrupted replay is completed by running it again
-    under its ``replay_id``: it looks at the rejects as if it had not run, and replaces what
-    it wrote. Rejects that came later need a replay with an id of its own.
+    ``repair`` may change the ``line`` before the check. Rows are stored and taken off the rejects with
+    one commit. A replay may be run again under its ``replay_id``: it looks at the rejects as if it
+    had not run, and replaces what it wrote. Rejects that came later need a replay with an id of its own.
     """
     pending = t.read_rejects(spark, tables, except_replay=replay_id)
     lines = repair(pending) if repair else pending
     events = ingest.ingest_lines(lines.drop("reason"), as_of)
     with _kept(events.filter(F.col("reason").isNull()), None) as passed:
         logs = ingest.accepted(passed)
-        run_id = f"replay-{replay_id}"
-        t.write_logs(logs, tables.logs, f"{run_id}/0", partitions=t.layout_partitions(logs))
-        t.write_rollup(logs, tables.hourly, run_id, 0)
-        t.mark_resolved(passed, tables, replay_id)
+        batch = t.batch_name(f"replay-{replay_id}", 0)
+        entries = t.stage_logs(logs, tables.logs, batch)
+        entries += t.stage(rollup.hourly_partials(logs), tables.hourly, batch)
+        entries += t.stage_resolved(passed, tables, replay_id)
+    commit(spark, tables.root, entries)

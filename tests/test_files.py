@@ -1,0 +1,309 @@
+"""The commit log, the manifest of files, searches that open few files, and retention."""
+
+import datetime as dt
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from logbrook import schema as S
+from logbrook.operators import ingest, rollup, search
+from logbrook.plans.events_view import log_view
+from logbrook.sources import commits as c, files, retention, tables as t
+from logbrook.streaming import sink
+
+T0 = dt.datetime(2026, 3, 1, 10)
+
+
+@pytest.fixture
+def tables(tmp_path):
+    return t.LogTables(str(tmp_path / "tables"))
+
+
+def rows_of(df):
+    return sorted(tuple(str(r[x]) for x in sorted(df.columns)) for r in df.collect())
+
+
+def made(spark, number, days=10, service="s{n}", message="event number {i}", severity=None):
+    """One row a quarter of an hour, from T0 on."""
+    rows = []
+    for i in range(number):
+        when = T0 + dt.timedelta(minutes=15 * i * days * 96 // max(number, 1) // 1)
+        kind = severity(i) if severity else ("ERROR" if i % 5 == 0 else "INFO")
+        rows.append((service.format(n=i % 3), when.date(), when, f"{i:08x}", kind, message.format(i=i), f"h{i % 2}", {"k": str(i)}))
+    schema = "service_name string, log_date date, timestamp timestamp_ntz, log_uuid string, severity string, message string, host string, metadata map<string,string>"
+    return spark.createDataFrame(rows, schema)
+
+
+def present(spark, path):
+    return files.manifest(spark, path, c.snapshot(spark, path).live).count()
+
+
+def day(n):
+    return T0.date() + dt.timedelta(days=n)
+
+
+# --- no batch is lost ------------------------------------------------------------------
+
+
+def test_a_batch_stored_again_after_a_compaction(spark, tables):
+    logs = made(spark, 36, days=1)
+    t.write_logs(logs.filter("log_uuid < '00000012'"), tables.logs, "r/0")
+    t.compact_day(spark, tables.logs, day(0))
+    assert t.read_logs(spark, tables.logs).count() == 18
+    t.write_logs(logs, tables.logs, "r/0")
+    assert rows_of(t.read_logs(spark, tables.logs).drop("ingest_id")) == rows_of(logs)
+    # The rows that were replaced are not copied on either.
+    assert t.compact_day(spark, tables.logs, day(0)) == 36 - logs.filter(F.col("log_date") > day(0)).count()
+    assert rows_of(t.read_logs(spark, tables.logs).drop("ingest_id")) == rows_of(logs)
+
+
+def test_a_batch_stored_again_while_its_compaction_is_compacted(spark, tables):
+    logs = made(spark, 40, days=1)
+    t.write_logs(logs.limit(10), tables.logs, "a/0")
+    t.write_logs(logs.filter("log_uuid >= '00000014'"), tables.logs, "b/0")
+    for _ in range(2):
+        t.compact_day(spark, tables.logs, day(0))
+    generation = t.begin_compaction(spark, tables.logs, day(0))
+    t.write_logs(logs.filter("log_uuid < '00000014'"), tables.logs, "a/0")
+    t.finish_compaction(spark, tables.logs, generation)
+    assert rows_of(t.read_logs(spark, tables.logs).drop("ingest_id")) == rows_of(logs)
+
+
+def test_a_batch_stored_again_after_a_fold(spark, tables):
+    logs = made(spark, 36)
+    t.write_rollup(logs.limit(18), tables.hourly, "r", 0)
+    assert t.fold_rollup(spark, tables) == 1
+    t.write_rollup(logs, tables.hourly, "r", 0)
+    assert rows_of(t.read_rollup(spark, tables)) == rows_of(rollup.hourly_rollup(logs))
+    assert t.fold_rollup(spark, tables) == 2
+    assert rows_of(t.read_rollup(spark, tables)) == rows_of(rollup.hourly_rollup(logs))
+
+
+def test_a_batch_that_arrives_after_later_ones_were_folded(spark, tables):
+    logs = made(spark, 54)
+    parts = [logs.filter(F.col("log_uuid").substr(8, 1).isin(*letters)) for letters in ("0123456", "789ab", "cdef")]
+    t.write_rollup(parts[0], tables.hourly, "r", 0)
+    t.write_rollup(parts[2], tables.hourly, "r", 2)
+    t.fold_rollup(spark, tables)
+    t.write_rollup(parts[1], tables.hourly, "r", 1)
+    assert rows_of(t.read_rollup(spark, tables)) == rows_of(rollup.hourly_rollup(logs))
+    assert t.fold_rollup(spark, tables) == 2 and t.fold_rollup(spark, tables) == 2
+    assert rows_of(t.read_rollup(spark, tables)) == rows_of(rollup.hourly_rollup(logs))
+
+
+def test_covered_folders_are_not_read(spark, tables):
+    logs = made(spark, 60, days=2)
+    for n in range(3):
+        t.write_logs(logs.filter(F.col("log_uuid").substr(8, 1) > "59e"[n]), tables.logs, f"r/{n}")
+        t.write_rollup(logs, tables.hourly, "r", n)
+    t.compact_day(spark, tables.logs, day(0))
+    t.fold_rollup(spark, tables)
+    opened = t.read_logs(spark, tables.logs).filter(F.col("log_date") == day(0)).inputFiles()
+    assert opened and all("compacted-" in f for f in opened if f"log_date={day(0)}" in f)
+    assert all("/folds/" in f for f in t.read_partials(spark, tables).inputFiles())
+
+
+# --- whole batches ----------------------------------------------------------------------
+
+
+def test_a_reader_between_the_writes_sees_nothing_of_the_batch(spark, tables, monkeypatch):
+    lines = [(f"f", n, f'{{"timestamp":"2026-03-01T10:00:{n:02d}Z","service":"s","severity":"INFO","message":"m"}}') for n in range(5)]
+    events = ingest.ingest_lines(spark.createDataFrame([*lines, ("f", 9, "junk")], "file string, off long, line string"))
+    seen, stage, stage_logs = [], t.stage, t.stage_logs
+
+    def counts():
+        return tuple(df.count() for df in (t.read_logs(spark, tables.logs), t.read_rollup(spark, tables), t.read_rejects(spark, tables)))
+
+    def files_of(table):
+        return below(tables.path(table))
+
+    def look(table, staged):
+        assert files_of(table)
+        seen.append(counts())
+        return staged
+
+    monkeypatch.setattr(t, "stage", lambda rows, path, batch: look(path.rpartition("/")[2], stage(rows, path, batch)))
+    monkeypatch.setattr(t, "stage_logs", lambda rows, path, batch: look("logs", stage_logs(rows, path, batch)))
+    sink.store_batch(events, tables, "r", 0)
+    assert seen == [(0, 0, 0)] * 3
+    assert counts() == (5, 1, 1)
+
+
+# --- searches that open few files ---------------------------------------------------------
+
+
+def stored_days(spark, tables, logs):
+    """Files of a day each, and one day compacted into several by service and time."""
+    t.write_logs(logs, tables.logs, "r/0")
+    t.compact_day(spark, tables.logs, day(3), partitions=3)
+
+
+def same_as_search(spark, tables, found, service, limit, **filters):
+    wanted = search.search(t.read_logs(spark, tables.logs), service, limit, **filters)
+    assert [tuple(r) for r in found.rows] == [tuple(r) for r in wanted.collect()]
+    return found
+
+
+def test_newest_rows_come_from_the_newest_files(spark, tables):
+    stored_days(spark, tables, made(spark, 600))
+    total = present(spark, tables.logs)
+    assert total >= 12
+    found = same_as_search(spark, tables, files.find(spark, tables.logs, "s1", 5), "s1", 5)
+    assert found.opened <= files.FIRST_FILES < total
+    # A result that is never full needs all files of the service.
+    found = same_as_search(spark, tables, files.find(spark, tables.logs, "s1", 500, q="number 1"), "s1", 500, q="number 1")
+    assert found.opened == found.possible
+
+
+def test_every_page_equals_the_whole_search(spark, tables):
+    logs = made(spark, 60, days=5).withColumn("timestamp", F.date_trunc("day", "timestamp").cast("timestamp_ntz"))
+    stored_days(spark, tables, logs)
+    rows, token = [], None
+    while True:
+        page = files.page_stored(spark, tables.logs, "s0", 8, page_token=token)
+        rows += page.results.collect()
+        token = page.next_cursor
+        if not token:
+            break
+    wanted = search.search(t.read_logs(spark, tables.logs), "s0", 500).collect()
+    assert [tuple(r) for r in rows] == [tuple(r) for r in wanted] and len(rows) == 20
+
+
+def test_keywords_open_files_with_their_trigrams_only(spark, tables):
+    logs = made(spark, 300, message="plain line {i}")
+    rare = F.when(F.col("log_date") == day(4), F.concat(F.col("message"), F.lit(" Überlauf im Puffer"))).otherwise(F.col("message"))
+    stored_days(spark, tables, logs.withColumn("message", rare))
+    for keyword in ("ÜBERLAUF", "lauf im puf"):
+        found = same_as_search(spark, tables, files.find(spark, tables.logs, "s2", 500, q=keyword), "s2", 500, q=keyword)
+        assert found.rows and found.opened == 1 < present(spark, tables.logs)
+    assert files.find(spark, tables.logs, "s2", 5, q="nowhere to be found").opened == 0
+    # Two characters have no trigram, so all files may hold them.
+    short = same_as_search(spark, tables, files.find(spark, tables.logs, "s2", 500, q="üb"), "s2", 500, q="üb")
+    assert short.opened == short.possible >= 10
+
+
+def test_files_without_trigrams_are_opened(spark, tables):
+    logs = made(spark, 30, days=1)
+    t.write_logs(logs, tables.logs, "r/0", grams=False)
+    found = same_as_search(spark, tables, files.find(spark, tables.logs, "s0", 50, q="nothing"), "s0", 50, q="nothing")
+    assert found.opened == found.possible > 0 and not found.rows
+
+
+def test_rare_severities_skip_files(spark, tables):
+    stored_days(spark, tables, made(spark, 400, severity=lambda i: "WARNING" if i in (100, 101, 102) else "INFO"))
+    for wanted, options in ((["warn"], {"fold_warning": True}), ("WARNING", {})):
+        found = files.find(spark, tables.logs, "s1", 50, severity=wanted, **options)
+        same_as_search(spark, tables, found, "s1", 50, severity=wanted, **options)
+        assert len(found.rows) == 1 and found.opened <= 2 < present(spark, tables.logs)
+    assert files.find(spark, tables.logs, "s1", 50, severity="ERROR").opened == 0
+
+
+@pytest.mark.parametrize(
+    "filters",
+    [
+        {"start": T0 + dt.timedelta(days=2, hours=5), "end": T0 + dt.timedelta(days=4)},
+        {"end": T0 + dt.timedelta(days=1, minutes=15)},
+        {"start": T0 + dt.timedelta(days=3), "granularity": "date"},
+        {"granularity": "date", "as_of": T0 + dt.timedelta(days=1)},
+        {"host": "h1", "severity": ["info", "error"]},
+    ],
+)
+def test_filters_of_a_stored_search(spark, tables, filters):
+    logs = made(spark, 150, days=5)
+    for n in range(2):
+        t.write_logs(logs.filter(F.dayofmonth("timestamp") % 2 == n), tables.logs, f"r/{n}")
+    found = same_as_search(spark, tables, files.find(spark, tables.logs, "s1", 20, **filters), "s1", 20, **filters)
+    assert found.rows
+
+
+def test_manifest_lines_are_fetched_in_turns(spark, tables, monkeypatch):
+    stored_days(spark, tables, made(spark, 200, days=6))
+    monkeypatch.setattr(files, "MANIFEST_LINES", 2)
+    found = same_as_search(spark, tables, files.find(spark, tables.logs, "s1", 500), "s1", 500)
+    assert found.opened == found.possible > 5
+
+
+def test_trigram_bits(spark):
+    texts = ["", "ab", "abc", "ABC", "aİbc", "xyzabc", None]
+    rows = spark.createDataFrame([(x,) for x in texts], "m string").select("m", files.gram_bits(F.col("m")).alias("bits")).collect()
+    bits = {r["m"]: r["bits"] for r in rows}
+    assert bits[""] == bits["ab"] == [] and bits["abc"] == bits["ABC"] and len(bits["abc"]) == 1
+    assert set(bits["abc"]) < set(bits["xyzabc"]) and len(bits["xyzabc"]) == 4
+    every = spark.range(0, 262144, 37).select(F.col("id").cast("int").alias("bit"))
+    parts = every.groupBy(F.floor(F.col("bit") / 32768).cast("int").alias("part")).agg(F.bitmap_construct_agg(F.col("bit").cast("long") % 32768).alias("bits"))
+    whole = parts.agg(F.map_from_entries(F.collect_list(F.struct("part", "bits"))).alias("grams"))
+    tested = spark.range(3000).select((F.col("id") * 61).cast("int").alias("bit")).join(F.broadcast(whole))
+    assert tested.filter(files.has_bit(F.col("grams"), F.col("bit")) != (F.col("bit") % 37 == 0)).count() == 0
+
+
+def test_plan_of_a_stored_search_reads_chosen_files(spark, tables):
+    stored_days(spark, tables, made(spark, 100, days=3))
+    seen = c.snapshot(spark, tables.logs)
+    one = files.manifest(spark, tables.logs, seen.live).first()
+    path = f"{c.folder(tables.logs, one['ingest_id'], one['attempt'])}/{one['file']}"
+    assert len(files.stored_rows(spark, tables.logs, [path], seen).inputFiles()) == 1
+
+
+# --- retention -----------------------------------------------------------------------------
+
+
+def below(path):
+    return set(glob.glob(os.path.join(path, "**", "*.parquet"), recursive=True))
+
+
+def now():
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+def test_vacuum_removes_what_no_reader_reaches(spark, tables, monkeypatch):
+    logs = made(spark, 80, days=2)
+    for n in (0, 1, 0):
+        half = logs.filter(F.col("log_uuid").substr(8, 1).isin(*("01234567", "89abcdef")[n]))
+        t.write_logs(half, tables.logs, f"r/{n}")
+        t.write_rollup(half, tables.hourly, "r", n)
+        t.fold_rollup(spark, tables)
+    with monkeypatch.context() as m:
+        m.setattr(c, "commit", lambda *a, **k: None)
+        t.write_logs(logs, tables.logs, "never/0")
+    begun = t.read_logs(spark, tables.logs)
+    t.compact_day(spark, tables.logs, day(0))
+    wanted, hours = rows_of(logs), rows_of(rollup.hourly_rollup(logs))
+    everything = below(tables.root)
+
+    assert retention.vacuum(spark, tables, now()) == 0
+    assert below(tables.root) >= everything
+    assert rows_of(begun.drop("ingest_id")) == wanted  # a reader that began before the compaction goes on
+
+    assert retention.vacuum(spark, tables, now() + dt.timedelta(days=8)) > 0
+    assert rows_of(t.read_logs(spark, tables.logs).drop("ingest_id")) == wanted
+    assert rows_of(t.read_rollup(spark, tables)) == hours
+    left = below(tables.logs)
+    assert len(left) < len({f for f in everything if f.startswith(tables.logs + "/")})
+    attempts = {f.split("attempt=")[1].split("/")[0] for f in left}
+    assert {f.split("attempt=")[1].split("/")[0] for f in below(tables.logs + "-files")} == attempts
+    assert not any("never" in f for f in left)
+    assert len(os.listdir(f"{tables.root}/commits")) <= 2
+    assert len({f.split("ingest_id=")[1].split("/")[0] for f in below(tables.path("folds"))}) == 1
+
+    # The table goes on as before: again nothing to do, new batches, retries, folds and compactions.
+    assert retention.vacuum(spark, tables, now() + dt.timedelta(days=8)) == 0
+    t.write_logs(logs.limit(3), tables.logs, "r/0")
+    t.write_rollup(logs.limit(3), tables.hourly, "r", 0)
+    rest = logs.limit(3).unionByName(logs.filter(F.col("log_uuid").substr(8, 1).isin(*"89abcdef")))
+    assert rows_of(t.read_logs(spark, tables.logs).drop("ingest_id")) == rows_of(rest)
+    assert rows_of(t.read_rollup(spark, tables)) == rows_of(rollup.hourly_rollup(rest))
+
+
+def test_vacuum_of_nothing(spark, tables):
+    assert retention.vacuum(spark, tables, now()) == 0
+
+
+def test_service_names_and_batches_with_odd_letters(spark, tables):
+    logs = made(spark, 30, days=1, service="a/b {{x}} %2F*{n}")
+    t.write_logs(logs, tables.logs, "r:1 %/[x]{y}*?/0")
+    found = files.find(spark, tables.logs, "a/b {x} %2F*1", 50)
+    assert len(found.rows) == 10
+    assert t.read_logs(spark, tables.logs).first()["ingest_id"] == "r:1 %/[x]{y}*?/0"
+    assert set(S.LOG_COLUMNS) == set(found.rows[0].asDict())

@@ -232,9 +232,9 @@ def test_search_is_a_top_k_and_prunes_days(spark, logs, tmp_path):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "TakeOrderedAndProject" in plan
     partition_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert "log_date" in partition_filters and "service_name" in partition_filters
+    assert "log_date" in partition_filters
     pushed = plan.split("PushedFilters: [")[1].split("]")[0]
-    assert "EqualTo(severity,INFO)" in pushed and "timestamp" in pushed
+    assert "EqualTo(severity,INFO)" in pushed and "timestamp" in pushed and "EqualTo(service_name,auth)" in pushed
 
 
 def test_group_ranking_cuts_before_the_shuffle(logs):

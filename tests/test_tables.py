@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from logbrook.operators import rollup
 from logbrook.plans.events_view import log_view
-from logbrook.session import read_table
-from logbrook.sources import tables as t
+from logbrook.sources import commits as c, tables as t
 from logbrook.streaming import sink
 
 T0 = dt.datetime(2026, 3, 17, 10)
@@ -35,6 +34,10 @@ def lines_df(spark, lines):
     )
 
 
+def lost(*args, **kwargs):
+    raise RuntimeError("lost")
+
+
 def rows_of(df):
     return sorted(tuple(str(r[c]) for c in sorted(df.columns)) for r in df.collect())
 
@@ -118,13 +121,16 @@ def test_folds(spark, tables, sf_dir):
     assert rows_of(t.read_registry(spark, tables)) == registry
 
 
-def test_unfinished_fold_is_not_read(spark, tables, sf_dir):
+def test_unfinished_fold_is_not_read(spark, tables, sf_dir, monkeypatch):
     logs = log_view(spark, sf_dir)
     t.write_rollup(logs, tables.hourly, "a", 0)
     before = rows_of(t.read_rollup(spark, tables))
-    # The sums were written, the list of covered batches was not.
-    partials = rollup.fold_partials(t.read_partials(spark, tables))
-    partials.write.parquet(f"{tables.path('folds')}/fold_id=1")
+    with monkeypatch.context() as m:
+        # The sums are written, the commit is not.
+        m.setattr(c, "commit", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            t.fold_rollup(spark, tables)
+    assert files_below(tables.path("folds"))
     assert rows_of(t.read_rollup(spark, tables)) == before
     assert t.fold_rollup(spark, tables) == 1
     assert rows_of(t.read_rollup(spark, tables)) == before
@@ -190,7 +196,12 @@ def test_rows_that_arrive_during_a_compaction_stay(spark, tables):
 def test_unfinished_compaction_is_not_read(spark, tables, monkeypatch):
     sink.load_lines(lines_df(spark, [wire(i) for i in range(20)]), tables, "r0")
     with monkeypatch.context() as m:
-        m.setattr(t, "read_table", lambda *a: None if "compacted-" in a[1] else read_table(*a))
+        m.setattr(c, "commit", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            t.compact_day(spark, tables.logs, dt.date(2026, 3, 17))
+    with monkeypatch.context() as m:
+        # A copy of other than the covered rows is refused.
+        m.setattr(t, "_write_days", lambda rows, folder: rows.limit(3).write.partitionBy("log_date").parquet(folder))
         with pytest.raises(RuntimeError, match="incomplete"):
             t.compact_day(spark, tables.logs, dt.date(2026, 3, 17))
     assert t.read_logs(spark, tables.logs).count() == 20
@@ -245,15 +256,6 @@ def test_hot_service_is_split_over_files(spark, tables):
     assert t.read_logs(spark, tables.logs).count() == 60_000
 
 
-def test_layout_partitions_follow_the_groups(spark, sf_dir, monkeypatch):
-    logs = log_view(spark, sf_dir)
-    groups = logs.select("log_date", "service_name").distinct().count()
-    assert groups > 8 and t.layout_partitions(logs) == groups
-    assert t.layout_partitions(logs.limit(1)) == 8  # the session's setting
-    monkeypatch.setattr(t, "MAX_LAYOUT_PARTITIONS", 20)
-    assert t.layout_partitions(logs) == 20
-
-
 def test_saved_queries_are_kept(spark, tables):
     from logbrook import schema as S
 
