@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from xxhash import xxh64_intdigest
 
-from logbrook.llm.common import documents, utf8
+from logbrook.llm.common import arrow_rows, documents, utf8
 from logbrook.session import written
 
 LEAST = 100
@@ -44,6 +44,8 @@ _PLACES = 1 << 24
 _CHUNK = 1 << 20
 _DISTINCT = 1 << 17
 _POSITIONS = 1 << 18
+#: Texts or rows of codes that are passed to Python at a time.
+_ARROW_ROWS = 1000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 # A-Z to a-z; ends of pieces to full stops, which no word can hold, set apart by spaces.
@@ -149,18 +151,26 @@ def prefix_hashes(hashes: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
 Bitmap = tuple[np.ndarray, int]
 
 
-def bitmap_of(prefixes: DataFrame) -> Bitmap:
-    """A bitmap of the hashes of prefixes (lang, k, w1 to w4), of at most 32 MB whatever their number."""
+def bitmap_of(prefixes: DataFrame) -> tuple[Bitmap, Bitmap]:
+    """Bitmaps of the hashes of prefixes (lang, k, w1 to w4) and of all that they begin with, themselves included.
+
+    Each has at most 32 MB, whatever the number of prefixes.
+    """
     bits = min(max(1 << (16 * prefixes.count()).bit_length(), _SEGMENT_BITS), _BITS)
+    segments = bits // _SEGMENT_BITS
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [np.zeros(0, np.uint64)]
+            ends, paths = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
             for (lang, k), rows in frame.groupby(["lang", "k"]):
-                codes = [rows[f"w{i}"].to_numpy(np.int64) for i in range(1, k + 1)]
-                found.append(prefix_hashes(np.full(len(rows), lang_hash(lang)), codes))
-            bit = (np.concatenate(found) & np.uint64(bits - 1)).astype(np.int64)
-            yield pd.DataFrame({"segment": bit // _SEGMENT_BITS, "bit": bit % _SEGMENT_BITS})
+                hashes = np.full(len(rows), lang_hash(lang))
+                for i in range(1, k + 1):
+                    hashes = prefix_hashes(hashes, [rows[f"w{i}"].to_numpy(np.int64)])
+                    paths.append(hashes)
+                ends.append(hashes)
+            for first, found in ((0, ends), (segments, paths)):
+                bit = np.unique((np.concatenate(found) & np.uint64(bits - 1)).astype(np.int64))
+                yield pd.DataFrame({"segment": first + bit // _SEGMENT_BITS, "bit": bit % _SEGMENT_BITS})
 
     def segment(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         plane = np.zeros(_SEGMENT_BITS, np.uint8)
@@ -168,7 +178,8 @@ def bitmap_of(prefixes: DataFrame) -> Bitmap:
         return pd.DataFrame({"segment": [key[0]], "plane": [np.packbits(plane, bitorder="little").tobytes()]})
 
     places = prefixes.select(*KEY[:-1]).mapInPandas(place, "segment long, bit long").distinct()
-    return _filled(places.groupBy("segment").applyInPandas(segment, "segment long, plane binary"), bits)
+    whole, _ = _filled(places.groupBy("segment").applyInPandas(segment, "segment long, plane binary"), 2 * bits)
+    return (whole[: bits // 8], bits), (whole[bits // 8 :], bits)
 
 
 def _filled(segments: DataFrame, bits: int) -> Bitmap:
@@ -188,7 +199,7 @@ def marked(bitmap: Bitmap, hashes: np.ndarray) -> np.ndarray:
 def encoded(docs: DataFrame, frequent: DataFrame, seed: int) -> DataFrame:
     """(lang, codes): the codes of every text as little-endian 64-bit numbers, zero where no phrase can pass."""
     codes = frequent.select("lang", F.lit(1).alias("k"), F.col("code").alias("w1"), *(F.lit(0).cast("long").alias(f"w{i}") for i in range(2, 5)))
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap_of(codes))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap_of(codes)[0])
 
     def learn(table: dict[bytes, int], lang: str, words: list[bytes]) -> None:
         if len(table) > _DISTINCT:
@@ -253,17 +264,19 @@ def _sequences(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
 
 
 def _phrases(
-    lang: str, row: np.ndarray, bitmap: Bitmap, lengths: range, growth: int
+    lang: str, row: np.ndarray, bitmaps: tuple[Bitmap, Bitmap], lengths: range, growth: int
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Phrases that begin in a stretch with a marked prefix and are ``growth`` words longer: size, positions, hashes."""
     own = np.arange(LONGEST + 1, len(row) - LONGEST - 1)
     own = own[row[own] != 0]
     hashes = np.full(len(own), lang_hash(lang))
     for k in range(1, lengths.stop):
-        # ``own`` holds the positions where k words of a piece stand.
+        # ``own`` holds the positions where k words of a piece stand that lead to a prefix.
         hashes = prefix_hashes(hashes, [row[own + k - 1]])
+        led = marked(bitmaps[1], hashes)
+        own, hashes = own[led], hashes[led]
         if k in lengths:
-            open_ = marked(bitmap, hashes)
+            open_ = marked(bitmaps[0], hashes)
             if growth:
                 open_ &= row[own + k] != 0
             if open_.any():
@@ -478,6 +491,13 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     on one side, so the codes beside its occurrences tell. Every state of the search is a written table;
     only bitmaps of at most 32 MB come to the driver.
     """
+    with arrow_rows(docs.sparkSession, _ARROW_ROWS):
+        found, words, totals = _search(docs, least, top)
+        return _best_phrases(found, words, totals, top)
+
+
+def _search(docs: DataFrame, least: int, top: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All phrases scored until the search is settled, the frequent words and the totals."""
     words, totals, seed = coded_words(docs, least)
     codes = written(encoded(docs, words, seed), "collocation-codes")
     roots = _roots(words)
@@ -491,7 +511,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
         if opened.isEmpty():
             # Later octaves have lower bounds still.
             if within_floor(roots.filter(first >= counts), totals, floors).isEmpty():
-                return _best_phrases(found, words, totals, top)
+                return found, words, totals
             new = found.limit(0)
             continue
         grown = written(_grown(codes, opened, least), "collocation-grown")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,18 @@ def utf8(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of at most so many rows for the jobs that run inside: less memory for rows that are long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def text_size(text: Column | str) -> Column:
     """UTF-8 bytes of a text, null as none."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
@@ -32,6 +45,23 @@ def word_count(text: Column | str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have: ``name``, with underscores behind it if need be."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+#: Rows up to which a table of one thin row for each source, shard or the like is broadcast.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df``, broadcast if it has few rows; it must be cheap to count, and its rows thin."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def fields(df: DataFrame, **added: T.DataType) -> T.StructType:
     """The schema of ``df`` followed by new nullable fields."""
     return T.StructType([*df.schema.fields, *(T.StructField(name, kind) for name, kind in added.items())])
