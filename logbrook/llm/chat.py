@@ -69,8 +69,8 @@ def format_chats(turns: DataFrame) -> DataFrame:
     """One row for each conversation: conv_id, formatted, loss, attachments, expanded_tokens.
 
     ``turns`` has conv_id, turn, role and either text or parts (of type PARTS); other columns are
-    left out. Turns stand in the order of turn (null first), then role, then content; equal rows
-    are all kept. A null role or text is empty; a null conv_id is one conversation. No turns give no
+    left out. Turns stand in the order of turn (null first), then role, then text before escaping, then
+    the formatted turn; equal rows are all kept. A null role or text is empty; a null conv_id is one conversation. No turns give no
     rows. ``loss`` lists the spans (start from 0, length, in code points of ``formatted``) that
     hold assistant text, and nothing else. ``attachments`` lists (place, kind, reference, tokens)
     in order; ``expanded_tokens`` is their sum. The one shuffle is by conversation: its output is
@@ -90,15 +90,17 @@ def format_chats(turns: DataFrame) -> DataFrame:
         )
 
     spans = F.when(F.col("role") == LEARNED, F.filter(F.transform("seen", span), lambda s: s["is_text"]))
+    content = F.array_join(F.transform("parts", lambda p: F.coalesce(p["text"], F.lit(""))), "")
     pieces = visited.select(
         "conv_id",
         "turn",
         "role",
+        content.alias("content"),
         F.concat(head, F.array_join(F.transform("seen", lambda s: s["shown"]), ""), F.lit(END)).alias("piece"),
         F.coalesce(spans, F.array()).alias("loss"),
         F.filter("seen", lambda s: ~s["is_text"]).alias("attached"),
     )
-    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "piece")
+    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "content", "piece")
     length = F.char_length("piece").cast("long")
     before = F.coalesce(F.sum(length).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = pieces.withColumns({"place": F.row_number().over(order), "before": before}).withColumn(

@@ -4,9 +4,10 @@ Each source's documents lie in a seeded order on a tape of tokens (words), which
 of equal length. Seats, one block each, go to the sources by highest quotients target / (2 j + 1);
 consecutive seats form a shard, so every shard has an integer quota for each source and holds the
 mixture. A source's k-th seat takes its k-th block in a seeded block order, and after the last
-block the tape starts again; the block's words go to the shard of the seat. Whole blocks miss a
-target by a part of a block, which would be much for a small source; so its last block is cut, or
-one more begun, by less than a block. Blocks behind a source's last seat go to the shard of that seat.
+block the tape starts again; the block's words go to the shard of the seat. So the quotas fix how many
+words a source gives: those of its seats, the last one cut where they exceed the target. A source
+whose target is too small for a seat gives its target, less than a block. Blocks behind a source's last
+seat (a tape's last block is short) go to the shard of that seat.
 """
 
 from __future__ import annotations
@@ -17,14 +18,14 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from logbrook.llm.common import documents, fields, running, utf8, word_count
+from logbrook.llm.common import broadcast_if_small, documents, fields, fresh, running, utf8, word_count
 from logbrook.session import written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 REPEATS = 2
-BLOCK_TOKENS = 512
-SHARD_SEATS = 2048
+BLOCK_TOKENS = 128
+SHARD_SEATS = 8192
 SEED = "mix-1"
 _CHUNK = 1 << 16
 
@@ -43,7 +44,8 @@ def targets(sizes: DataFrame) -> DataFrame:
 
     Numbers follow the code points, null last; weights repeat WEIGHTS in that order. All targets
     add up to SHARE of all sizes; none exceeds REPEATS times its source, and what a source cannot
-    take is shared by weight among the others. Each round looks at two sums only.
+    take is shared by weight among the others. Sources fill up in the order of size by weight; running sums
+    of sizes and weights in this order give the level at which the others stand, without rounds.
     """
     ordered = running(
         sizes.withColumn("__null", F.col("source").isNull()).withColumn("__one", F.lit(1).cast("long")),
@@ -54,18 +56,14 @@ def targets(sizes: DataFrame) -> DataFrame:
     ).drop("__null", "__one")
     weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("number") % len(WEIGHTS) + 1).cast("int"))
     sources = ordered.withColumn("weight", weight).withColumn("most", F.col("source_size") * REPEATS)
-    total = SHARE * (sources.agg(F.sum("source_size")).first()[0] or 0)
-    level, full = 0.0, -1
-    while True:
-        capped = F.col("most") <= F.col("weight") * level
-        row = sources.agg(
-            F.count(F.when(capped, 1)).alias("full"),
-            F.coalesce(F.sum(F.when(capped, F.col("most"))), F.lit(0)).alias("taken"),
-            F.coalesce(F.sum(F.when(~capped, F.col("weight"))), F.lit(0)).alias("weights"),
-        ).first()
-        if row["full"] == full or not row["weights"]:
-            break
-        full, level = row["full"], (total - row["taken"]) / row["weights"]
+    totals = sources.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    total, weights = SHARE * (totals["size"] or 0), totals["weight"] or 0
+    filling = sources.withColumns({"ratio": F.col("most") / F.col("weight"), "weight": F.col("weight").cast("long")})
+    filling = running(filling, ["ratio", "number"], "most", "mix-filling", "full")
+    filling = running(filling, ["ratio", "number"], "weight", "mix-weights", "full_weight")
+    level = (F.lit(total) - F.col("full")) / (F.lit(weights) - F.col("full_weight"))
+    levels = filling.select("ratio", level.alias("level")).filter("ratio > level")
+    level = levels.agg(F.min_by("level", "ratio")).first()[0] or 0.0
     target = F.least(F.col("most").cast("double"), F.col("weight") * F.lit(level))
     return written(sources.withColumn("target", target).drop("most"), "mix-targets")
 
@@ -99,15 +97,14 @@ def seats(sources: DataFrame, block_tokens: int, shard_seats: int = SHARD_SEATS)
 def blocks(sources: DataFrame, quotas: DataFrame, block_tokens: int, seed: str) -> DataFrame:
     """(number, block, epoch, taken, j): how many leading tokens of a block the mix takes in each pass over the tape.
 
-    A source's seats, taken in its seeded block order, make up its words; they are cut or exceeded by less
-    than a block to meet the target. ``j`` counts a source's blocks in the order taken, through all passes.
+    A source's seats, taken in its seeded block order, make up its words; the last is cut to meet the
+    target. ``j`` counts a source's blocks in the order taken, through all passes.
     """
     held = quotas.groupBy("number").agg(F.sum("seats").alias("seats"))
-    whole = F.coalesce(F.col("seats"), F.lit(0)) * block_tokens
-    settled = F.least(F.greatest(F.round("target").cast("long"), whole - block_tokens), whole + block_tokens)
-    demands = sources.join(held, "number", "left").select(
-        "number", "source_size", F.least(settled, F.col("source_size") * REPEATS).alias("demand")
-    )
+    whole, rounded = F.coalesce(F.col("seats"), F.lit(0)) * block_tokens, F.round("target").cast("long")
+    seated = F.least(whole, F.greatest(rounded, whole - block_tokens))
+    demand = F.least(F.when(whole > 0, seated).otherwise(F.least(rounded, F.lit(block_tokens - 1))), F.col("source_size") * REPEATS)
+    demands = broadcast_if_small(written(sources.join(held, "number", "left").select("number", "source_size", demand.alias("demand")), "mix-demands"))
     sized = sources.select("number", F.ceil(F.col("source_size") / block_tokens).alias("n"))
     cut = _numbered(sized, "n", "block").join(demands, "number")
     length = F.least(F.lit(block_tokens).cast("long"), F.col("source_size") - F.col("block") * block_tokens)
@@ -120,7 +117,7 @@ def blocks(sources: DataFrame, quotas: DataFrame, block_tokens: int, seed: str)
         F.md5(F.concat_ws(":", F.lit(seed), F.col("number"), F.col("block"))).alias("key"),
     )
     placed = running(keyed, ["number", "key", "block"], "length", "mix-blocks", "place")
-    firsts = placed.groupBy("number").agg(F.min("place").alias("__first"))
+    firsts = broadcast_if_small(placed.groupBy("number").agg(F.min("place").alias("__first")))
     before = F.col("place") - F.col("__first") + F.col("epoch") * F.col("source_size")
     # A shorter block, of which a source has one, moves the places behind it by less than a block.
     rank = F.expr(f"(place - __first + {block_tokens - 1}) div {block_tokens}")
@@ -140,7 +137,7 @@ def in_shards(taken: DataFrame, seated: DataFrame) -> DataFrame:
     Blocks behind the last seat have the shard of that seat; a source without seats is in the last shard.
     """
     last = F.lit(seated.agg(F.max("shard")).first()[0] or 0).cast("long")
-    ends = seated.groupBy("number").agg(F.max("shard").alias("__end"))
+    ends = broadcast_if_small(seated.groupBy("number").agg(F.max("shard").alias("__end")))
     return (
         taken.join(seated, ["number", "j"], "left")
         .join(ends, "number", "left")
@@ -169,7 +166,7 @@ def plan(
     taped = running(shuffled, ["__null", "source", "__key", "doc_id", "size"], "size", "mix-tape").drop("__key", "__null")
     sizes = taped.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("before").alias("first"))
     sources = targets(sizes)
-    known = sources.select(F.col("source").alias("__source"), "number", "source_size", "target", "first")
+    known = broadcast_if_small(sources.select(F.col("source").alias("__source"), "number", "source_size", "target", "first"))
     rows = taped.join(known, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     begin = F.col("before") - F.col("first")
     parts = rows.filter("size > 0").select(
@@ -191,13 +188,22 @@ def plan(
     return rows, spans, quotas
 
 
-def mix_counts(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: str = SEED) -> DataFrame:
-    """Every row's size, its source's size and target, and the words the mix takes of it."""
-    rows, spans, _ = plan(docs, block_tokens, seed)
-    taken = spans.groupBy("__row").agg(F.sum(F.col("stop") - F.col("start")).alias("taken"))
-    return rows.join(taken, "__row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source"
-    )
+def mix_counts(
+    docs: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: str = SEED, shard_seats: int = SHARD_SEATS
+) -> DataFrame:
+    """Every row's size, its source's size, target and seats, and the words the mix takes of it.
+
+    ``shards`` spells the words by shard, as ``shard:words`` joined by commas, empty if none are taken.
+    """
+    rows, spans, quotas = plan(docs, block_tokens, seed, shard_seats)
+    by_shard = spans.groupBy("__row", "shard").agg(F.sum(F.col("stop") - F.col("start")).alias("words"))
+    taken = by_shard.groupBy("__row").agg(F.sum("words").alias("taken"), F.array_sort(F.collect_list(F.struct("shard", "words"))).alias("by"))
+    seats_of = broadcast_if_small(quotas.groupBy("number").agg(F.sum("seats").alias("source_seats")))
+    shards = F.array_join(F.transform("by", lambda s: F.concat_ws(":", s["shard"], s["words"])), ",")
+    return rows.join(taken, "__row", "left").join(seats_of, "number", "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source",
+        F.coalesce("source_seats", F.lit(0)).cast("long").alias("source_seats"), F.coalesce(shards, F.lit("")).alias("shards"),
+    )
 
 
 def mixed_documents(
@@ -210,8 +216,10 @@ def mixed_documents(
     """
     docs = docs.drop("shard")
     _, spans, _ = plan(docs, block_tokens, seed, shard_seats)
-    taken = spans.groupBy("__row", "epoch").agg(F.array_sort(F.collect_list(F.struct("shard", "start", "stop"))).alias("__spans"))
-    joined = docs.withColumn("__row", F.monotonically_increasing_id()).join(taken, "__row").drop("__row", "epoch")
+    taken = spans.groupBy("__row", "epoch").agg(F.array_sort(F.collect_list(F.struct("shard", "start", "stop"))).alias("spans"))
+    row, held, tie = (fresh(docs, name) for name in ("__row", "__spans", "__tie"))
+    taken = taken.select(F.col("__row").alias(row), F.col("spans").alias(held))
+    joined = docs.withColumn(row, F.monotonically_increasing_id()).join(taken, row).drop(row)
     schema = fields(docs, shard=T.LongType())
     word = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -234,7 +242,7 @@ def mixed_documents(
         for batch in batches:
             found = [
                 (at, shard, cut_text)
-                for at, (t, s) in enumerate(zip(utf8(batch.column("text")), batch.column("__spans").to_pylist()))
+                for at, (t, s) in enumerate(zip(utf8(batch.column("text")), batch.column(held).to_pylist()))
                 for shard, cut_text in cut(t, s)
             ]
             rows, shards, texts = zip(*found) if found else ((), (), ())
@@ -245,9 +253,9 @@ def mixed_documents(
                 columns["n_chars"] = pa.array([len(t) for t in texts], columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays([columns[name] for name in schema.names], names=schema.names)
 
-    keys = ["shard", "__tie"]
-    texts = written(joined.mapInArrow(write, schema), "mix-texts").withColumn("__tie", F.monotonically_increasing_id())
-    return texts.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__tie")
+    keys = ["shard", tie]
+    texts = written(joined.mapInArrow(write, schema), "mix-texts").withColumn(tie, F.monotonically_increasing_id())
+    return texts.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(tie)
 
 
 OP5_SQL = rf"""
@@ -274,16 +282,17 @@ targets AS (
   SELECT *, least(CAST(most AS DOUBLE), weight * (SELECT arg_min(level, ratio) FROM levels WHERE ratio > level)) AS target FROM weighted
 ),
 bids AS (
-  SELECT number, row_number() OVER (ORDER BY -target / (2 * j + 1), number) AS seat
+  SELECT number, j, row_number() OVER (ORDER BY -target / (2 * j + 1), number) - 1 AS seat
   FROM (SELECT number, target, unnest(range(CAST(floor(target / {BLOCK_TOKENS}) AS BIGINT) + 2)) AS j FROM targets WHERE target > 0)
 ),
-quotas AS (
-  SELECT number, count(*) AS seats FROM bids
-  WHERE seat <= (SELECT round(sum(target) / {BLOCK_TOKENS}) FROM targets) GROUP BY number
+seated AS (
+  SELECT number, j, seat // {SHARD_SEATS} AS shard FROM bids WHERE seat < (SELECT round(sum(target) / {BLOCK_TOKENS}) FROM targets)
 ),
+quotas AS (SELECT number, count(*) AS seats, max(shard) AS last_shard FROM seated GROUP BY number),
 demands AS (
-  SELECT t.*, least(least(greatest(CAST(round(target) AS BIGINT), (coalesce(seats, 0) - 1) * {BLOCK_TOKENS}),
-    (coalesce(seats, 0) + 1) * {BLOCK_TOKENS}), most) AS demand
+  SELECT t.*, seats, last_shard, least(most, CASE WHEN seats > 0
+    THEN least(seats * {BLOCK_TOKENS}, greatest(CAST(round(target) AS BIGINT), (seats - 1) * {BLOCK_TOKENS}))
+    ELSE least(CAST(round(target) AS BIGINT), {BLOCK_TOKENS - 1}) END) AS demand
   FROM targets t LEFT JOIN quotas USING (number)
 ),
 cut AS (
@@ -295,17 +304,28 @@ placed AS (
     ROWS UNBOUNDED PRECEDING) - length AS place FROM cut
 ),
 takes AS (
-  SELECT number, block, greatest(least(demand - place - epoch * source_size, length), 0) AS taken
+  SELECT number, block, last_shard, greatest(least(demand - place - epoch * source_size, length), 0) AS taken,
+    CAST((place + {BLOCK_TOKENS - 1}) // {BLOCK_TOKENS} + epoch * ((source_size + {BLOCK_TOKENS - 1}) // {BLOCK_TOKENS}) AS BIGINT) AS j
   FROM placed, (SELECT unnest(range({REPEATS})) AS epoch)
 ),
-met AS (
-  SELECT t.r, sum(greatest(least(b.block * {BLOCK_TOKENS} + b.taken, t.begin + t.size) - greatest(b.block * {BLOCK_TOKENS}, t.begin), 0)) AS taken
+sharded AS (
+  SELECT b.number, b.block, b.taken, coalesce(s.shard, b.last_shard, (SELECT max(shard) FROM seated), 0) AS shard
+  FROM takes b LEFT JOIN seated s ON s.number = b.number AND s.j = b.j WHERE b.taken > 0
+),
+parts AS (
+  SELECT t.r, b.shard,
+    sum(least(b.block * {BLOCK_TOKENS} + b.taken, t.begin + t.size) - greatest(b.block * {BLOCK_TOKENS}, t.begin)) AS words
   FROM tape t JOIN targets s ON t.source IS NOT DISTINCT FROM s.source
-  JOIN takes b ON b.number = s.number AND b.block BETWEEN t.begin // {BLOCK_TOKENS} AND (t.begin + t.size - 1) // {BLOCK_TOKENS}
-  WHERE t.size > 0 GROUP BY t.r
+  JOIN sharded b ON b.number = s.number AND b.block BETWEEN t.begin // {BLOCK_TOKENS} AND (t.begin + t.size - 1) // {BLOCK_TOKENS}
+  WHERE t.size > 0 AND least(b.block * {BLOCK_TOKENS} + b.taken, t.begin + t.size) > greatest(b.block * {BLOCK_TOKENS}, t.begin)
+  GROUP BY t.r, b.shard
+),
+met AS (
+  SELECT r, sum(words) AS taken, string_agg(shard || ':' || CAST(words AS BIGINT), ',' ORDER BY shard) AS shards FROM parts GROUP BY r
 )
-SELECT doc_id, size, source_size, target, CAST(coalesce(o.taken, 0) AS BIGINT) AS taken, t.source AS source
-FROM tape t JOIN targets s ON t.source IS NOT DISTINCT FROM s.source LEFT JOIN met o USING (r)
+SELECT doc_id, size, source_size, target, CAST(coalesce(o.taken, 0) AS BIGINT) AS taken, t.source AS source,
+  CAST(coalesce(s.seats, 0) AS BIGINT) AS source_seats, coalesce(o.shards, '') AS shards
+FROM tape t JOIN demands s ON t.source IS NOT DISTINCT FROM s.source LEFT JOIN met o USING (r)
 """
 
 

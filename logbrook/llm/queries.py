@@ -13,6 +13,7 @@ from logbrook.llm.lm import op10_lm_scoring
 from logbrook.llm.mixing import OP5_SQL, op5_mixing
 from logbrook.llm.ordinal import op7_quality_classifier
 from logbrook.llm.packing import op6_packing
+from logbrook.llm.personal_data import op12_personal_data
 from logbrook.llm.quality_rules import OP8_SQL, op8_quality_rules
 from logbrook.llm.sharding import op3_sharding
 from logbrook.llm.simhash import op4_simhash_near_dedup
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_chat_formatting,
         op10_lm_scoring,
         op11_conversation_repair,
+        op12_personal_data,
         op13_phrase_collocations,
     )
 }

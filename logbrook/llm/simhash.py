@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from logbrook.llm.common import documents, fields, utf8
+from logbrook.llm.common import documents, fields, fresh, utf8
 from logbrook.session import written
 
 WORDS = 4
@@ -232,11 +232,12 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int
 
     ``docs`` must give its rows in the same order at every reading, as a stored table does.
     """
-    placed = docs.withColumn("__place", F.monotonically_increasing_id())
-    thin = placed.select(F.struct(F.col(key).isNull().alias("null"), F.col(key).alias("key"), "__place").alias("row"), F.col(text).alias("__text"))
+    place = fresh(docs, "__place")
+    placed = docs.withColumn(place, F.monotonically_increasing_id())
+    thin = placed.select(F.struct(F.col(key).isNull().alias("null"), F.col(key).alias("key"), F.col(place).alias("place")).alias("row"), F.col(text).alias("__text"))
     prints = written(with_fingerprint(thin, "__text").select("row", "simhash"), "simhash-prints")
-    kept = group_fingerprints(prints, "row", bits).select(F.col("component.__place").alias("__place")).distinct()
-    return placed.join(kept, "__place", "left_semi").drop("__place")
+    kept = group_fingerprints(prints, "row", bits).select(F.col("component.place").alias(place)).distinct()
+    return placed.join(kept, place, "left_semi").drop(place)
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

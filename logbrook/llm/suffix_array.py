@@ -20,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logbrook.llm.common import documents, fields, utf8
+from logbrook.llm.common import documents, fields, fresh, utf8
 from logbrook.session import written
 
 LENGTH = 200
@@ -392,15 +392,16 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def with_ranges(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All rows with ``__ranges``, their repeated byte ranges (null without any).
+def with_ranges(docs: DataFrame, text: str = "text", into: str = "__ranges") -> DataFrame:
+    """All rows with ``into``, their repeated byte ranges (null without any).
 
     ``docs`` must give its rows in the same order at every reading, as a stored table does.
     """
-    placed = docs.withColumn("__row", F.monotonically_increasing_id())
-    ranges = repeated_ranges(placed.select("__row", F.col(text).alias("__text")))
-    lists = ranges.groupBy(F.col("row").alias("__row")).agg(F.collect_set(F.struct("start", "stop")).alias("__ranges"))
-    return placed.join(lists, "__row", "left").drop("__row")
+    row = fresh(docs, "__row")
+    placed = docs.withColumn(row, F.monotonically_increasing_id())
+    ranges = repeated_ranges(placed.select(F.col(row).alias("__row"), F.col(text).alias("__text")))
+    lists = ranges.groupBy(F.col("row").alias(row)).agg(F.collect_set(F.struct("start", "stop")).alias(into))
+    return placed.join(lists, row, "left").drop(row)
 
 
 def cut(text: bytes, ranges: list[dict] | None) -> tuple[bytes, list[tuple[int, int]]]:
@@ -418,20 +419,20 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     and columns stay, a text may become empty, a null text stays null, ``n_chars`` follows where there
     is one. Repeated rows are copies of each other, so texts of LENGTH bytes or more become empty.
     """
-    schema = fields(docs)
+    schema, held = fields(docs), fresh(docs, "__ranges")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left = [
                 None if old is None else cut(new, ranges)[0].decode(errors="ignore") if ranges else old
-                for old, new, ranges in zip(batch.column(text).to_pylist(), utf8(batch.column(text)), batch.column("__ranges").to_pylist())
+                for old, new, ranges in zip(batch.column(text).to_pylist(), utf8(batch.column(text)), batch.column(held).to_pylist())
             ]
             columns = {name: batch.column(name) for name in schema.names} | {text: pa.array(left, pa.string())}
             if "n_chars" in columns:
                 columns["n_chars"] = pa.array([len(t or "") for t in left], columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return with_ranges(docs, text).mapInArrow(write, schema)
+    return with_ranges(docs, text, held).mapInArrow(write, schema)
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

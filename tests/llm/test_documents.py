@@ -161,3 +161,11 @@ def test_parts_split_inside_a_control_string(spark, texts):
     whole = "".join(t or "" for t in texts)
     assert [tuple(t) for t in r["turns"]] == [("assistant", whole), ("user", texts[0])]
     assert r["learned"] == whole and len(r["loss"]) == len(texts)
+
+
+def test_ties_of_a_turn_stand_by_their_text(spark):
+    """Escaping changes the order of these texts; the text itself decides."""
+    texts = ["<|x", "<ax", "\\z", "^z", "<|x"]
+    turns = spark.createDataFrame([(1, 0, "user", t) for t in texts], "conv_id long, turn long, role string, text string")
+    read = chat.format_chats(turns).select(chat.read_turns(F.col("formatted")).alias("turns")).first()["turns"]
+    assert [t["text"] for t in read] == sorted(texts, key=str.encode)

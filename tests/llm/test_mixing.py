@@ -40,8 +40,15 @@ def check(rows, got):
         assert g["source_size"] == sizes[g["source"]] and g["target"] == pytest.approx(target[g["source"]])
         assert 0 <= g["taken"] <= 2 * g["size"]
         taken[g["source"]] += g["taken"]
+    seats = {g["source"]: g["source_seats"] for g in got}
     for source, t in target.items():
-        assert abs(taken[source] - t) <= 1
+        # Whole seats, the last one cut to the target; without a seat the target itself.
+        whole = seats[source] * mixing.BLOCK_TOKENS
+        assert taken[source] == min(max(round(t), whole - mixing.BLOCK_TOKENS), whole or mixing.BLOCK_TOKENS - 1, 2 * sizes[source])
+        assert abs(taken[source] - t) <= mixing.BLOCK_TOKENS
+    for g in got:
+        parts = [tuple(map(int, part.split(":"))) for part in g["shards"].split(",") if part]
+        assert parts == sorted(set(parts)) and sum(n for _, n in parts) == g["taken"]
 
 
 def test_hard_rows(hard, none):
@@ -58,6 +65,32 @@ def test_query_equals_its_sql(spark, sf_dir):
     assert sorted(map(tuple, got), key=str) == sorted(want.fetchall(), key=str)
 
 
+def test_other_quotas_take_other_words(hard, monkeypatch):
+    """The quotas decide: a source that is dealt half of its seats gives half of its words."""
+    whole = mixing.mix_counts(hard, block_tokens=16).collect()
+    dealt = mixing.dealt
+    half = lambda sources, block, shard: dealt(sources, block, shard).filter("number <> 0 OR j % 2 = 0").withColumn(
+        "j", F.when(F.col("number") == 0, F.expr("j div 2")).otherwise(F.col("j"))
+    )
+    monkeypatch.setattr(mixing, "dealt", half)
+    halved = mixing.mix_counts(hard, block_tokens=16).collect()
+    first = min(g["source"].encode() for g in whole if g["source"] is not None).decode()
+    taken = [sum(g["taken"] for g in got if g["source"] == first) for got in (whole, halved)]
+    assert 0 < abs(taken[1] - taken[0] / 2) + 1 <= 17
+    others = [sorted((str(g["doc_id"]), g["taken"]) for g in got if g["source"] != first) for got in (whole, halved)]
+    assert others[0] == others[1]
+
+
+def test_clashing_columns(hard):
+    names = ("epoch", "__row", "__spans", "__tie", "number", "block", "place", "spans", "size")
+    clash = hard.withColumns({name: F.lit("x") for name in names})
+    plain = sorted(map(str, (tuple(r) for r in mixing.mixed_documents(hard, block_tokens=16).collect())))
+    mixed = mixing.mixed_documents(clash, block_tokens=16)
+    assert set(names) < set(mixed.columns)
+    assert sorted(map(str, (tuple(r) for r in mixed.select(*hard.columns, "shard").collect()))) == plain
+    assert mixing.mix_counts(clash).count() == hard.count()
+
+
 def test_shards_hold_the_mixture(hard):
     _, _, quotas = mixing.plan(hard, block_tokens=16)
     by_shard = defaultdict(dict)
