@@ -205,10 +205,18 @@ def candidates(docs: DataFrame) -> DataFrame:
     def checked(kind: str) -> Callable[[Column], Column]:
         return lambda s: passes(kind, s["found"])
 
-    found = docs.select(
+    def possible(kind: str, pattern: str) -> Column:
+        # Every match has one of these characters; most texts have none, and are not scanned for the pattern.
+        at = F.contains(text, F.lit("@"))
+        if pattern == LOOSE["email"]:
+            at = at | F.contains(text, F.lit("(at)")) | F.contains(text, F.lit("[at]"))
+        needed = {"email": at, "ip": F.col("__digit") | F.contains(text, F.lit(":"))}
+        return F.when(needed.get(kind, F.col("__digit")), spans_of(text, pattern)).otherwise(F.array().cast(f"array<{_MATCH}>"))
+
+    found = docs.select("doc_id", "text", F.coalesce(F.col("text").rlike("[0-9]"), F.lit(False)).alias("__digit")).select(
         "doc_id",
-        *(F.filter(spans_of(text, BASE[k]), checked(k)).alias(f"base_{k}") for k in KINDS),
-        *(spans_of(text, LOOSE[k]).alias(f"loose_{k}") for k in KINDS),
+        *(F.filter(possible(k, BASE[k]), checked(k)).alias(f"base_{k}") for k in KINDS),
+        *(possible(k, LOOSE[k]).alias(f"loose_{k}") for k in KINDS),
     )
 
     def plain(kind: str, spans: Column) -> Column:
