@@ -217,13 +217,12 @@ def _compact_while_writing(spark, sf_dir):
 
 
 def _all_pages(spark: SparkSession, path: str, service: str, size: int) -> DataFrame:
-    """Every page up to the last, each written to shared storage; only the token stays on the driver."""
-    base, number, token = work_dir(spark, "pages"), 0, None
-    while number == 0 or token:
-        page = files.page_stored(spark, path, service, size, page_token=token)
-        page.results.select("log_uuid", "timestamp").write.parquet(f"{base}/page={number}")
-        number, token = number + 1, page.next_cursor
-    return spark.read.schema("log_uuid string, timestamp timestamp_ntz").parquet(f"{base}/page=*")
+    """Every page up to the last, each written to a folder of its own in shared storage."""
+    base = work_dir(spark, "pages")
+    pages = files.page_stored(spark, path, service, size, every=True).results
+    pages.select("page", "log_uuid", "timestamp").write.partitionBy("page").parquet(base)
+    stored = spark.read.schema("log_uuid string, timestamp timestamp_ntz, page bigint").parquet(base)
+    return stored.select("log_uuid", "timestamp")
 
 
 @register(

@@ -13,12 +13,12 @@ import datetime as dt
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window as W, functions as F, types as T
 
 from logbrook import schema as S
 from logbrook.functions import clean_keyword, decode_cursor, encode_cursor
 from logbrook.operators import search
-from logbrook.session import read_table
+from logbrook.session import read_table, written
 from logbrook.sources import commits as c
 
 #: A file's trigram bitmap is cut into so many parts of 32,768 bits; parts without a bit are not stored.
@@ -32,6 +32,8 @@ _PIECE = 64
 
 #: Files opened in the first step of a search; every step opens twice as many as the one before.
 FIRST_FILES = 4
+#: Spark's row numbers have the number of the task above so many bits.
+_PLACE_BITS = 33
 #: Lines of the manifest that a search asks for at a time.
 MANIFEST_LINES = 4096
 
@@ -227,16 +229,21 @@ class Found:
     possible: int
 
 
+def _days_of(filters: dict) -> dict:
+    """Bounds of the days that a search by time may touch."""
+    if filters.get("granularity", "time") == "date":
+        return {}
+    return {end: filters.get(name) and search._utc(filters[name]).date() for end, name in (("first", "start"), ("last", "end"))}
+
+
 def _newest_rows(spark: SparkSession, path: str, size: int, service: str | None, filters: dict) -> Found:
-    days = {}
     if filters.get("granularity", "time") == "date":
         period = search.day_range(filters.get("start"), filters.get("end"), filters.get("as_of") or filters.get("start") or filters.get("end"))
         times = {}
     else:
         period = F.lit(True)
         times = {name: filters.get(name) for name in ("start", "end")}
-        days = {"first": times["start"] and search._utc(times["start"]).date(), "last": times["end"] and search._utc(times["end"]).date()}
-    seen = c.snapshot(spark, path, **days)
+    seen = c.snapshot(spark, path, **_days_of(filters))
     kept = {name: filters[name] for name in ("severity", "q", "fold_warning", "page_token") if name in filters}
     lines = manifest(spark, path, seen.live).filter(period & may_hold(service, **times, **kept))
     lines = lines.select("newest", "ingest_id", "attempt", "file")
@@ -290,8 +297,39 @@ def search_stored(spark: SparkSession, path: str, service: str | None, limit: in
     return spark.createDataFrame(find(spark, path, service, limit, **filters).rows, _result_schema())
 
 
-def page_stored(spark: SparkSession, path: str, service: str | None, limit: int = S.SEARCH_DEFAULT_LIMIT, **filters) -> search.Page:
-    """A page of the stored log and the token of the next one, without a start in time and without guesses."""
+def _numbered_pages(rows: DataFrame, size: int) -> DataFrame:
+    """Rows with the ``page`` (from 0) that they have if every ``size`` rows, newest first, are one.
+
+    Rows are cut into ranges of the order and sorted there, and written once with their place in the range.
+    Only the row counts of the ranges are summed up in order, so no task has more than a range.
+    """
+    order, place = search.newest_first(), 2**_PLACE_BITS - 1
+    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    kept = written(ranges.withColumn("_at", F.monotonically_increasing_id()), "pages-in-order")
+    counts = kept.groupBy(F.shiftright("_at", _PLACE_BITS).alias("_range")).count()
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    rank = F.col("_before") + F.col("_at").bitwiseAND(F.lit(place))
+    same = F.shiftright("_at", _PLACE_BITS) == F.col("_range")
+    return kept.join(F.broadcast(starts), same).select(*rows.columns, ((rank - rank % size) / size).cast("bigint").alias("page"))
+
+
+def page_stored(
+    spark: SparkSession, path: str, service: str | None, limit: int = S.SEARCH_DEFAULT_LIMIT, every: bool = False, **filters
+) -> search.Page:
+    """A page of the stored log and the token of the next one, without a start in time and without guesses.
+
+    With ``every`` the results are this page and all that follow, with a column ``page`` from 0, found in one
+    pass over the rows: nothing of them reaches the driver, and going on from token to token would
+    read rows of one time once for each of their pages. There is no next page then. Rows that equal each
+    other in time and id follow one another, where a token would pass over those behind the page's end.
+    """
+    if every:
+        size = search.check_limit(limit)
+        seen = c.snapshot(spark, path, **_days_of(filters))
+        folders = [c.folder(path, e.batch, e.attempt, e.day) for e in seen.live if e.n_rows]
+        found = search.matching(stored_rows(spark, path, folders, seen), service, **filters)
+        return search.Page(_numbered_pages(search.result_columns(found), size), None)
     rows = _newest_rows(spark, path, search.check_limit(limit) + 1, service, filters).rows
     token = encode_cursor(rows[limit - 1]["timestamp"], rows[limit - 1]["log_uuid"]) if len(rows) > limit else None
     return search.Page(spark.createDataFrame(rows[:limit], _result_schema()), token)

@@ -171,6 +171,35 @@ def test_every_page_equals_the_whole_search(spark, tables):
     assert [tuple(r) for r in rows] == [tuple(r) for r in wanted] and len(rows) == 20
 
 
+def test_all_pages_at_once_are_the_pages_one_by_one(spark, tables):
+    """Rows of one time fill many pages, ranges of the sort begin inside pages, and no page is made on the driver."""
+    logs = made(spark, 300, days=5).withColumn("timestamp", F.date_trunc("day", "timestamp").cast("timestamp_ntz"))
+    stored_days(spark, tables, logs)
+    pages, token = [], None
+    while not pages or token:
+        page = files.page_stored(spark, tables.logs, "s0", 30, page_token=token)
+        pages.append(sorted(tuple(map(str, r)) for r in page.results.collect()))
+        token = page.next_cursor
+    at_once = files.page_stored(spark, tables.logs, "s0", 30, every=True)
+    got = [[] for _ in pages]
+    for row in at_once.results.collect():
+        got[row["page"]].append(tuple(map(str, row[:-1])))
+    assert len(pages) == 4 and [sorted(page) for page in got] == pages and at_once.next_cursor is None
+    second = files.page_stored(spark, tables.logs, "s0", 30, page_token=files.page_stored(spark, tables.logs, "s0", 30).next_cursor, every=True)
+    assert {r["page"]: r["count"] for r in second.results.groupBy("page").count().collect()} == {0: 30, 1: 30, 2: 10}
+
+
+def test_pages_keep_rows_without_time_and_repeated_rows(spark, tables):
+    logs = made(spark, 45, days=1)
+    none = logs.limit(5).withColumns({"timestamp": F.lit(None).cast("timestamp_ntz"), "log_date": F.lit(None).cast("date")})
+    rows = logs.unionByName(logs.limit(20)).unionByName(none)
+    t.write_logs(rows, tables.logs, "r/0")
+    pages = files.page_stored(spark, tables.logs, None, 10, every=True).results.collect()
+    assert sorted(str(tuple(r[:-1])) for r in pages) == sorted(str(tuple(r)) for r in search.result_columns(rows).collect())
+    assert [sum(r["page"] == n for r in pages) for n in range(7)] == [10] * 7
+    assert all(r["page"] == 6 for r in pages if r["timestamp"] is None)
+
+
 def test_keywords_open_files_with_their_trigrams_only(spark, tables):
     logs = made(spark, 300, message="plain line {i}")
     rare = F.when(F.col("log_date") == day(4), F.concat(F.col("message"), F.lit(" Überlauf im Puffer"))).otherwise(F.col("message"))
