@@ -74,21 +74,30 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def gram_bits(text: Column) -> Column:
-    """Distinct places of a text's trigrams, without regard to case, in the bitmap of all parts."""
+def _pieces(text: Column) -> Column:
+    """A text in small letters, cut so that every trigram lies in one piece; none where there is no trigram."""
     step = _PIECE - (GRAM - 1)
 
-    def places(piece: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.char_length(piece) - (GRAM - 1))
-        hashed = F.transform(starts, lambda i: F.xxhash64(F.substring(piece, i, F.lit(GRAM))))
-        return F.transform(hashed, lambda h: F.pmod(h, F.lit(GRAM_PARTS * _PART_BITS)).cast("int"))
-
-    def bits(low: Column) -> Column:
+    def cut(low: Column) -> Column:
         last = F.floor((F.char_length(low) - GRAM) / step).cast("int")
-        pieces = F.transform(F.sequence(F.lit(0), last), lambda k: F.substring(low, k * step + 1, F.lit(_PIECE)))
-        return F.flatten(F.transform(pieces, places))
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.substring(low, k * step + 1, F.lit(_PIECE)))
+
+    return F.when(F.char_length(text) >= GRAM, _bound(F.lower(text), cut)).otherwise(F.array().cast("array<string>"))
+
+
+def _starts(piece: Column) -> Column:
+    return F.sequence(F.lit(1), F.char_length(piece) - (GRAM - 1))
 
-    return F.array_distinct(F.when(F.char_length(text) >= GRAM, _bound(F.lower(text), bits)).otherwise(F.array().cast("array<int>")))
+
+def _place(piece: Column, start: Column) -> Column:
+    """Place of a trigram in the bitmap of all parts."""
+    return F.pmod(F.xxhash64(F.substring(piece, start, F.lit(GRAM))), F.lit(GRAM_PARTS * _PART_BITS)).cast("int")
+
+
+def gram_bits(text: Column) -> Column:
+    """Distinct places of a text's trigrams, without regard to case, in the bitmap of all parts."""
+    places = F.transform(_pieces(text), lambda p: F.transform(_starts(p), lambda i: _place(p, i)))
+    return F.array_distinct(F.flatten(places))
 
 
 def gram_maps(rows: DataFrame) -> DataFrame:
@@ -98,7 +107,10 @@ def gram_maps(rows: DataFrame) -> DataFrame:
     a file. Gathering them into the bitmaps at once would sort every trigram of a task, because a binary
     value is no buffer of a hash aggregation.
     """
-    bits = rows.select("file", F.explode(gram_bits(F.col("message"))).alias("bit"))
+    # Rows of trigrams rather than arrays: these steps are compiled, functions of array elements are not.
+    pieces = rows.select("file", F.explode(_pieces(F.col("message"))).alias("piece"))
+    starts = pieces.select("file", "piece", F.explode(_starts(F.col("piece"))).alias("start"))
+    bits = starts.select("file", _place(F.col("piece"), F.col("start")).alias("bit"))
     # The bits of a word stand in the order of the bitmap's bytes, so its hexadecimal digits are those bytes.
     shift = (7 - F.shiftright("bit", 3) % 8) * 8 + F.col("bit") % 8
     one = F.call_function("shiftleft", F.lit(1).cast("long"), shift)
