@@ -333,15 +333,17 @@ def page_stored(
 
     With ``every`` the results are this page and all that follow, with a column ``page`` from 0, found in one
     pass over the rows: nothing of them reaches the driver, and going on from token to token would
-    read rows of one time once for each of their pages. There is no next page then. Rows that equal each
-    other in time and id follow one another, where a token would pass over those behind the page's end.
+    read rows of one time once for each of their pages. There is no next page then. Rows without a time have
+    no place in the order of tokens and are on no page, as behind a token. Rows that equal each other in time
+    and id follow one another, where a token would pass over those behind the page's end.
     """
     if every:
         size = search.check_limit(limit)
         seen = c.snapshot(spark, path, **_days_of(filters))
         folders = [c.folder(path, e.batch, e.attempt, e.day) for e in seen.live if e.n_rows]
         found = search.matching(stored_rows(spark, path, folders, seen), service, **filters)
-        return search.Page(_numbered_pages(search.result_columns(found), size), None)
+        timed = search.result_columns(found.filter(F.col("timestamp").isNotNull()))
+        return search.Page(_numbered_pages(timed, size), None)
     rows = _newest_rows(spark, path, search.check_limit(limit) + 1, service, filters).rows
     token = encode_cursor(rows[limit - 1]["timestamp"], rows[limit - 1]["log_uuid"]) if len(rows) > limit else None
     return search.Page(spark.createDataFrame(rows[:limit], _result_schema()), token)
