@@ -13,9 +13,11 @@ import os
 import zlib
 from array import array
 from bisect import bisect_left, bisect_right, insort
+from codecs import charmap_decode
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from string import punctuation
 from unicodedata import normalize
 
 import pyarrow as pa
@@ -30,8 +32,8 @@ END_ID = 1
 STEP_TOKENS = 1 << 16
 #: Left-overs that wait before a task packs them; more give better fits, each needs up to 8 KB.
 WAITING = 4096
-#: Words that a worker keeps between texts, in each of two generations; about 20 MB in all.
-CACHED = 60_000
+#: Words that a worker keeps between texts, in each of two generations; about 45 MB in all.
+CACHED = 120_000
 _ID_BYTES = 4
 _CHUNK = 1 << 22
 
@@ -41,21 +43,24 @@ PIECES = (
 )
 
 
-class WordEncoder:
+class WordEncoder(dict):
     """Token ids of whole texts as little-endian 32-bit bytes, word by word with a bounded cache.
 
     The tokenizer's own splitting never joins what ASCII white space divides, so the ids of a
-    text are those of its words in a row. Two generations of cached words bound the memory.
+    text are those of its words in a row. Two generations of cached words, of which the young one is
+    the dictionary itself, bound the memory.
     """
 
     def __init__(self, tokenizer: str, cached: int = CACHED):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(tokenizer if os.path.isabs(tokenizer) else public_tokenizers.path(tokenizer))
-        self.cached, self.young, self.old = cached, {}, {}
-        self.signs = {ord(c): array("I", self.model.encode(c, add_special_tokens=False).ids).tobytes() for c in ",."}
+        self.pieces = self.model.model.tokenize
+        self.id_bytes = [i.to_bytes(_ID_BYTES, "little") for i in range(self.model.get_vocab_size())]
+        self.cached, self.old = cached, {}
 
     def encode(self, text: bytes) -> bytes:
         return b"".join(self._words(part) for part in chunks(text))
@@ -63,44 +68,44 @@ class WordEncoder:
     def _words(self, text: bytes) -> bytes:
         if b"<|" not in text:  # special tokens are matched with their case
             text = text.lower()
-        words = text.split()
-        young, old = self.young, self.old
-        missing, ended = [], []
-        for word in set(words).difference(young):
-            if word in old:
-                young[word] = old[word]
-            elif word[-1] in b",." and (base := word[:-1]) and (letters := base.decode()).isalpha() and stays_letter(letters[-1]):
-                ended.append(word)  # letters, then one sign: two tokens of the splitting rule
-                if base in old:
-                    young[base] = old[base]
-                elif base not in young:
-                    young[base] = b""
-                    missing.append(base)
-            elif not young.get(word):
-                young[word] = b""
-                missing.append(word)
-        others = []
-        for word in missing:
-            if plain(word):
-                found = self.model.model.tokenize(word.decode("latin-1").translate(_BYTE_LEVEL))
-                young[word] = array("I", [token.id for token in found]).tobytes()
+        ids = b"".join(map(self.__getitem__, text.split()))
+        if len(self) > self.cached:
+            self.old = {w: i for w, i in self.items() if len(w) <= 64}
+            self.clear()
+        return ids
+
+    def __missing__(self, word: bytes) -> bytes:
+        """Ids of a word that the young generation does not have."""
+        if word[-1] in _SIGNS and (base := word.rstrip(_SIGNS)):
+            if ascii_plain(base) or (letters := base.decode()).isalpha() and stays_letter(letters[-1]):
+                return self[base] + self[word[len(base) :]]  # letters, then signs: parts of the splitting rule
+        ids = self.old.get(word)
+        if ids is None:
+            small = word if ascii_plain(word) else latin_letters(word.decode())
+            if small:
+                found = self.pieces(charmap_decode(small, "strict", _BYTE_LEVEL)[0])
+                ids = b"".join([self.id_bytes[token.id] for token in found])
             else:
-                others.append(word)
-        if others:
-            for word, got in zip(others, self.model.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)):
-                young[word] = array("I", got.ids).tobytes()
-        for word in ended:
-            young[word] = young[word[:-1]] + self.signs[word[-1]]
-        ids = b"".join(map(young.__getitem__, words))
-        if len(young) > self.cached:
-            self.young, self.old = {}, {w: i for w, i in young.items() if len(w) <= 64}
+                (found,) = self.model.encode_batch_fast([word.decode()], add_special_tokens=False)
+                ids = array("I", found.ids).tobytes()
+        self[word] = ids
         return ids
 
 
-def plain(word: bytes) -> bool:
-    """Whether a word is nothing but lower-case Latin letters, which the tokenizer neither changes nor splits."""
-    letters = word.decode()
-    return letters.isalpha() and letters.lower() == letters and max(letters) < "\u0250"
+def ascii_plain(word: bytes) -> bool:
+    """Whether a word is nothing but small ASCII letters, which stand for themselves in the byte-level alphabet."""
+    return word.isalpha() and word.islower()
+
+
+def latin_letters(word: str) -> bytes | None:
+    """A word of nothing but Latin letters as the tokenizer changes it, in small letters; None for any other.
+
+    Up to U+024F every letter is as NFC leaves it, and one whose small letter is a single one has it wherever it stands.
+    """
+    if not word.isalpha() or max(word) >= "\u0250":
+        return None
+    small = word.lower()
+    return small.encode() if len(small) == len(word) else None
 
 
 @lru_cache(maxsize=1 << 16)
@@ -110,14 +115,16 @@ def stays_letter(letter: str) -> bool:
     return all(len(c) == 1 and c.isalpha() for c in changed)
 
 
-def _byte_level() -> dict[int, int]:
+def _byte_level() -> str:
     """The byte-level alphabet: visible Latin-1 bytes stand for themselves, the others follow from 256 on."""
     visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    hidden = [b for b in range(256) if b not in visible]
-    return {b: 256 + number for number, b in enumerate(hidden)}
+    hidden = iter(range(256, 512))
+    return "".join(chr(b if b in visible else next(hidden)) for b in range(256))
 
 
 _BYTE_LEVEL = _byte_level()
+#: ASCII signs: neither letters nor digits nor white space, a run of them is one part of the splitting rule.
+_SIGNS = punctuation.encode()
 
 
 @lru_cache(maxsize=1)
@@ -250,6 +257,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, tiers: tuple[int
                 packer.add(doc_id, encoder.encode(text) + end)
                 if len(packer.rows) >= 8192:
                     yield _rows(packer)
+        encoder.old = {}  # a worker that goes on with other work keeps one generation at most
         packer.pack(last=True)
         yield _rows(packer)
 

@@ -85,6 +85,22 @@ def test_every_letter_before_a_sign_gives_the_ids_of_the_text():
     assert [w for w, e in zip(words, want) if np.frombuffer(encoder.encode(w.encode()), "<u4").tolist() != e.ids] == []
 
 
+def test_words_are_kept_without_the_signs_behind_them():
+    encoder = packing.WordEncoder(packing.TOKENIZER)
+    text = "anea, Anea. anea!! anea écrite, Écrite don't."
+    for _ in range(2):
+        assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == MODEL.encode(text, add_special_tokens=False).ids
+    assert {w.decode() for w in encoder} == {"anea", ",", ".", "!!", "écrite", "Écrite", "don't."}
+
+
+def test_latin_letters_and_signs_give_the_ids_of_the_text():
+    letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]
+    words = [a + c + b for c in letters for a in ("", "k", "É") for b in ("", "z", "ß", "!!", "'", ".%%%", "'s.")]
+    encoder = packing.WordEncoder(packing.TOKENIZER)
+    want = MODEL.encode_batch_fast(words, add_special_tokens=False)
+    assert [w for w, e in zip(words, want) if np.frombuffer(encoder.encode(w.encode()), "<u4").tolist() != e.ids] == []
+
+
 def test_chunks_end_at_white_space():
     text = b"ab cde  f\nghij klm"
     assert b"".join(packing.chunks(text, 4)) == text
