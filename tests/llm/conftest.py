@@ -1,8 +1,13 @@
 import random
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import types as T
 
+# Spark pickles functions with its own copy, so that is the one in which tests register modules.
+sys.modules["cloudpickle"] = cloudpickle
+
 SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
