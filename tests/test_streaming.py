@@ -117,6 +117,23 @@ def test_crash_between_the_writes(spark, env, monkeypatch):
     assert rows_of(env.rollup()) == rows_of(rollup.hourly_rollup(env.logs()))
 
 
+def test_a_large_day_is_cut_into_several_files(spark, env):
+    """In a stream, too, no task sorts more of a day than the size at which rebalancing cuts."""
+    for part in range(6):
+        append(env.folder / f"{part}.log", *[wire(part * 300 + i, i % 60) for i in range(300)])
+    # A stream works in a copy of the session as it is when the stream begins.
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8kb")
+    try:
+        env.run()
+        t.write_logs(env.logs().drop("ingest_id"), env.tables.path("again"), "r/0")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    for table in ("logs", "again"):
+        found = glob.glob(f"{env.tables.path(table)}/*/*/log_date=2026-03-17/*.parquet")
+        assert len(found) > 2
+        assert t.read_logs(spark, env.tables.path(table)).count() == 1800
+
+
 def test_capped_ingest(spark, env):
     append(env.folder / "a.log", *[wire(i, i) for i in range(200)])
     query = jobs.ingest_folder(
